@@ -117,10 +117,7 @@ def _staged(s: Sources) -> DataFrame:
 
 
 def _passed(s: Sources) -> DataFrame:
-    columns = {
-        **{name: F.col(name) for name in PASSED if name in _logged(s).columns},
-        **{k: v for k, v in ex.renamed_columns().items() if k in PASSED},
-    }
+    columns = {**{name: F.col(name) for name in PASSED}, **ex.renamed_columns()}
     return _keyed(_logged(s), {name: columns[name] for name in PASSED})
 
 
@@ -229,7 +226,7 @@ def queries() -> dict[str, Query]:
         ),
         "passthrough": _over(_passed),
         "trajectory_passthrough": _over(
-            lambda s: _keyed(s.pitches, {n: ex.renamed_columns()[n] for n in TRAJECTORIES})
+            lambda s: s.pitches.select(*KEY, *[F.col(n.lower()).alias(n) for n in TRAJECTORIES])
         ),
         "trace_passthrough": _over(
             lambda s: pitch_joins.join_trace(

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from pitchlake.functions.text import decode
+
 # Zone edges in metres, body-height factors, cell labels.
 PLATE_EDGE = 0.271
 PLATE_THIRD = 0.0903
@@ -102,8 +104,9 @@ def location_zone(x: Column, z: Column, in_out: Column) -> Column:
 def core_zone(x: Column, z: Column) -> Column:
     """Cell label on the larger grid of core, edges and corners."""
     cell = _grid(x, z, SHADOW_EDGE, CORE_EDGE, ["zonelow", "corelow", "corehigh", "zonehigh"])
-    label = F.element_at(F.array(*[F.lit(name) for name in CORE_CELLS]), cell)
-    return F.coalesce(label, F.lit(NOT_SPECIFIED))
+    # Not element_at over an array: in ANSI mode it takes a NULL index for non-null.
+    labels = {name: [number] for number, name in enumerate(CORE_CELLS, start=1)}
+    return F.coalesce(decode(cell, labels), F.lit(NOT_SPECIFIED))
 
 
 def take_location(zone: Column, swing: Column) -> dict[str, Column]:
