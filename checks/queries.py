@@ -80,7 +80,7 @@ def _filtered(condition) -> Query:
 
 
 def _pick(frame: Callable[[Sources], DataFrame], *names: str) -> Query:
-    return _over(lambda s: frame(s).select(*KEY, *[schema.output_column(n) for n in names]))
+    return _over(lambda s: frame(s).select(*KEY, *[f"`{name}`" for name in names]))
 
 
 def _extracted(s: Sources) -> DataFrame:
@@ -112,15 +112,12 @@ PASSED = [
 
 
 def _staged(s: Sources) -> DataFrame:
-    joined = pitch_joins.join_pitch_tables(s.pitches, s.pitch_log, s.trace)
+    joined = pitch_joins.join_pitch_tables(
+        ex.pack_pitches(s.pitches), s.pitch_log, ex.pack_trace(s.trace)
+    )
     return ex.stage(joined, s.pitches.schema["date"].dataType)
 
 
-def _passed(s: Sources) -> DataFrame:
-    columns = {**{name: F.col(name) for name in PASSED}, **ex.renamed_columns()}
-    return _keyed(_logged(s), {name: columns[name] for name in PASSED})
-
-
 def queries() -> dict[str, Query]:
     return {
         # sources and sinks
@@ -224,14 +221,16 @@ def queries() -> dict[str, Query]:
                 *KEY, "batter", "pitcher", "catcherid", "groundX", "groundY", "game_year"
             )
         ),
-        "passthrough": _over(_passed),
+        "passthrough": _pick(lambda s: ex.unpack(_staged(s)), *PASSED),
         "trajectory_passthrough": _over(
-            lambda s: s.pitches.select(*KEY, *[F.col(n.lower()).alias(n) for n in TRAJECTORIES])
+            lambda s: ex.pack_pitches(s.pitches).select(
+                *KEY, *[f"carried.{name}" for name in TRAJECTORIES]
+            )
         ),
         "trace_passthrough": _over(
             lambda s: pitch_joins.join_trace(
-                s.pitches.select(*KEY, "pitchno"), s.trace
-            ).select(*KEY, *schema.X_SAMPLES, *schema.Z_SAMPLES)
+                s.pitches.select(*KEY, "pitchno"), ex.pack_trace(s.trace)
+            ).select(*KEY, "path.*")
         ),
         # strike zone
         "strike_zone_bounds": _pick(

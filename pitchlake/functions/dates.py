@@ -14,5 +14,4 @@ def game_date(column: Column, data_type: T.DataType) -> Column:
         return column.cast("timestamp_ntz")
     text = F.trim(column)
     attempts = [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in DATE_FORMATS]
-    iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text).try_cast("timestamp_ntz")
-    return F.coalesce(iso, *attempts, text.cast("timestamp_ntz"))
+    return F.coalesce(text.try_cast("timestamp_ntz"), *attempts, text.cast("timestamp_ntz"))

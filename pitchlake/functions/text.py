@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 
@@ -12,8 +10,12 @@ def fold(column: Column) -> Column:
     return F.lower(column)
 
 
-def decode(column: Column, mapping: dict[str, list[str]]) -> Column:
-    """Label of the value list that holds the value, NULL when none does."""
-    (first, values), *rest = mapping.items()
-    start = F.when(column.isin(values), first)
-    return reduce(lambda chain, arm: chain.when(column.isin(arm[1]), arm[0]), rest, start)
+def decode(column: Column, mapping: dict[str, list]) -> Column:
+    """Label of the value list that holds the value, NULL when none does.
+
+    A lookup in a constant map reads the column once. A chain of conditions reads
+    it once per label, and stacked chains, inlined by the optimizer into a pushed
+    filter, multiply beyond what one generated method can hold.
+    """
+    entries = [f"{value!r}, {label!r}" for label, values in mapping.items() for value in values]
+    return F.try_element_at(F.expr(f"map({', '.join(entries)})"), column)

@@ -82,7 +82,8 @@ def find_hot_keys(
         .agg(
             F.count_if(F.col("key").isNull()).alias("nulls"),
             F.expr(
-                f"approx_top_k(key, {MAX_HOT_KEYS}, {limits.tracked_keys})"
+                f"approx_top_k(key, {min(MAX_HOT_KEYS, limits.tracked_keys)},"
+                f" {limits.tracked_keys})"
                 " FILTER (WHERE key IS NOT NULL)"
             ).alias("top"),
         )

@@ -66,36 +66,58 @@ def pitch_kind_column() -> Column:
     return pitches.pitch_kind(F.col("pit_kind_cd"), F.col("autopitchtype"))
 
 
-def renamed_columns() -> dict[str, Column]:
-    """Identity and context columns under their published names."""
-    names = {
-        "pitname": "pitcher",
-        "batname": "batter",
-        "pitch_number": "pitchofpa",
-        "home_score": "home_score_cn",
-        "away_score": "away_score_cn",
-        "hit_spin_rate": "hitspinrate",
-        **{name: name.lower() for name in ("BatSpeed", "VerticalAttackAngle", "ZoneTime")},
-        "HorizontalAttackAngle": "horizontalattackangle",
-        **{name: name.lower() for name in schema.SPIN_AXIS_3D},
-        **{name: name.lower() for name in schema.PITCH_TRAJECTORY + schema.HIT_TRAJECTORY},
-    }
-    return {new: F.col(old) for new, old in names.items()}
-
+# Published name by source name, for columns that nothing on the way reads.
+CARRIED = {
+    "pitname": "pitcher",
+    "batname": "batter",
+    "pitch_number": "pitchofpa",
+    **{
+        name: name.lower()
+        for name in (
+            *"pitcherteam batterteam hometeam awayteam inning catcher gameuid".split(),
+            *"BatSpeed VerticalAttackAngle HorizontalAttackAngle ZoneTime".split(),
+            *schema.SPIN_AXIS_3D,
+            *schema.PITCH_TRAJECTORY,
+            *schema.HIT_TRAJECTORY,
+        )
+    },
+}
+SAMPLES = schema.X_SAMPLES + schema.Z_SAMPLES
 
 # Columns that keep their source name.
 KEPT = [
-    *"gameid pitchno game_seq pit_seq level league game_year batterid pitcherid catcherid catcher".split(),
-    *"pitcherteam batterteam hometeam awayteam inning balls strikes field_if".split(),
-    *"gameuid pitchuid".split(),
-    *schema.X_SAMPLES,
-    *schema.Z_SAMPLES,
+    *"gameid pitchno game_seq pit_seq level league game_year batterid pitcherid catcherid".split(),
+    *"balls strikes field_if pitchuid carried path".split(),
 ]
+RENAMED = {
+    "home_score": "home_score_cn",
+    "away_score": "away_score_cn",
+    "hit_spin_rate": "hitspinrate",
+}
+
+
+def pack_pitches(pitches_: DataFrame) -> DataFrame:
+    """Put the columns that are only carried along into one struct: a join or
+    projection then copies them as one value instead of sixty."""
+    fields = ", ".join(f"{source} AS `{name}`" for name, source in CARRIED.items())
+    sources = set(CARRIED.values())
+    return pitches_.select(
+        *[name for name in pitches_.columns if name not in sources],
+        F.expr(f"struct({fields})").alias("carried"),
+    )
+
+
+def pack_trace(trace: DataFrame) -> DataFrame:
+    return trace.select("game_seq", "pitch_no", F.struct(*SAMPLES).alias("path"))
+
+
+def unpack(rows: DataFrame) -> DataFrame:
+    return rows.select("*", "carried.*", "path.*").drop("carried", "path")
 
 
 def stage(joined: DataFrame, date_type: T.DataType) -> DataFrame:
-    """Project joined pitches to published names; everything downstream reads
-    only these."""
+    """Project packed and joined pitches to published names; everything
+    downstream reads only these."""
     named = with_contact_inputs(joined).withColumns(
         {
             "league": F.lower("level"),
@@ -104,15 +126,14 @@ def stage(joined: DataFrame, date_type: T.DataType) -> DataFrame:
         }
     )
     columns = {
-        **{name: F.col(name) for name in KEPT},
         "game_date": dates.game_date(F.col("date"), date_type),
-        **renamed_columns(),
+        **{name: F.col(source) for name, source in RENAMED.items()},
         **play_columns(),
         **contact_columns(),
         **log_columns(),
         **measure_columns(),
     }
-    return named.select(*[column.alias(name) for name, column in columns.items()])
+    return named.select(*KEPT, *[column.alias(name) for name, column in columns.items()])
 
 
 def extract(
@@ -123,5 +144,7 @@ def extract(
     """Staged pitches of the leagues. The filter sits on the pitch table, below
     both joins, so it reaches the scan."""
     wanted = sources.pitches.where(leagues_extract(leagues))
-    joined = join_pitch_tables(wanted, sources.pitch_log, sources.trace, limits)
+    joined = join_pitch_tables(
+        pack_pitches(wanted), sources.pitch_log, pack_trace(sources.trace), limits
+    )
     return stage(joined, sources.pitches.schema["date"].dataType)

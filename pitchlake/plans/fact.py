@@ -9,7 +9,7 @@ from pitchlake.leagues import LEAGUES, League
 from pitchlake.operators.arm_slot import add_arm_slot
 from pitchlake.operators.joins import DEFAULT_LIMITS, JoinLimits
 from pitchlake.operators.players import add_players
-from pitchlake.plans.extract import extract
+from pitchlake.plans.extract import extract, unpack
 from pitchlake.sources import Sources
 from pitchlake.sources.sinks import published, write_fact
 
@@ -100,7 +100,7 @@ def pitch_rows(
     named = add_players(extract(sources, leagues, limits), sources.players, limits=limits)
     slotted = add_arm_slot(with_numeric_ids(named), limits)
     measured = slotted.withColumns(units.metric_columns())
-    return classified_only(with_flags(with_zones(measured)))
+    return unpack(classified_only(with_flags(with_zones(measured))))
 
 
 def pitch_fact(

@@ -2,14 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-
-_SPARK_TYPES = {
-    "bigint": T.LongType(),
-    "int": T.IntegerType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-}
+from pyspark.sql import DataFrame
 
 # Families of numbered column names.
 TRACE_STEPS = range(0, 51, 5)
@@ -82,12 +75,12 @@ def conform(df: DataFrame, columns: dict[str, str], passthrough: tuple[str, ...]
     missing = [name for name in (*columns, *passthrough) if name not in present]
     if missing:
         raise ValueError(f"source lacks columns: {', '.join(missing)}")
-    typed = [F.col(name).cast(_SPARK_TYPES[t]).alias(name) for name, t in columns.items()]
-    return df.select(*typed, *passthrough)
+    typed = [f"cast({name} as {type_name}) as {name}" for name, type_name in columns.items()]
+    return df.selectExpr(*typed, *passthrough)
 
 
-# The published columns, in published order. Names with signs are
-# quoted where they are used.
+# The published columns, in published order. Names such as
+# `rel_speed(km)` and `1/3` are quoted where they are used.
 OUTPUT_COLUMNS: list[str] = [
     *"game_year game_date inning hometeam home_score awayteam away_score".split(),
     *"pitch_number balls strikes zone new_zone stand p_throw p_throws p_type type".split(),
@@ -116,8 +109,3 @@ OUTPUT_COLUMNS: list[str] = [
     *"z_str_swing exit_velocity launch_angleX hit_spin hang_time hit_bearing S".split(),
     *"Left_take Right_take High_take Low_take looking month".split(),
 ]
-
-
-def output_column(name: str) -> Column:
-    """A published column; names such as `rel_speed(km)` and `1/3` need quoting."""
-    return F.col(f"`{name}`")

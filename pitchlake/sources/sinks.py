@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchlake.schema import OUTPUT_COLUMNS, output_column
+from pitchlake.schema import OUTPUT_COLUMNS
 from pitchlake.sources.readers import Sources, TableNames
 
 PARTITIONS = ["level", "game_year"]
@@ -12,7 +12,7 @@ PITCH_ORDER = ["gameid", "pitchno"]
 
 
 def published(rows: DataFrame) -> DataFrame:
-    return rows.select(*[output_column(name) for name in OUTPUT_COLUMNS])
+    return rows.select(*[f"`{name}`" for name in OUTPUT_COLUMNS])
 
 
 def write_fact(rows: DataFrame, path: str, replace_all: bool = True) -> None:
