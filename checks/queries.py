@@ -102,6 +102,17 @@ def _fact(*leagues: lg.League) -> Query:
     return _over(lambda s: fact.pitch_fact(s, leagues))
 
 
+# Names only: the queries are listed before there is a session to make columns in.
+MEASURES = [
+    *"release_speed release_pos_x release_pos_z pfx_x pfx_z plate_x plate_z".split(),
+    *"hit_distance_sc launch_speed launch_angle HangTime bearing release_spin_rate".split(),
+    *"release_spin_axis release_extension contactX contactY contactZ".split(),
+]
+METRICS = [
+    *"rel_height rel_side hor_break ver_break rel_speed(km) exit_speed(km)".split(),
+    *"extension hit_distance".split(),
+]
+IN_PLAY = "exit_velocity launch_angleX hit_spin hang_time hit_bearing".split()
 TRAJECTORIES = ["ZoneTime", *schema.PITCH_TRAJECTORY, *schema.HIT_TRAJECTORY]
 PASSED = [
     *"pitname batname pitcherteam batterteam hometeam awayteam inning catcher".split(),
@@ -204,13 +215,13 @@ def queries() -> dict[str, Query]:
         "pitch_outcome_type": _pick(_flagged, "description", "ntype"),
         "handedness": _pick(_played, "stand", "p_throw"),
         # measures
-        "unit_conversions": _pick(_played, *units.imperial_columns()),
+        "unit_conversions": _pick(_played, *MEASURES),
         "catcher_view_flip": _pick(_played, "plate_x", "pfx_x"),
-        "metric_columns": _pick(_batted, *units.metric_columns()),
+        "metric_columns": _pick(_batted, *METRICS),
         "launch_speed_angle": _pick(_played, "launch_speed_angle"),
         "spray_direction": _pick(_played, "launch_direction"),
         "spray_coordinates": _pick(_played, "groundX", "groundY"),
-        "inplay_metrics": _pick(_flagged, *fact.in_play_copies()),
+        "inplay_metrics": _pick(_flagged, *IN_PLAY),
         "date_parts": _over(
             lambda s: _played(s)
             .select(*KEY, "game_date")

@@ -56,32 +56,32 @@ def in_play_copies() -> dict[str, Column]:
 
 
 def with_flags(rows: DataFrame) -> DataFrame:
-    """Count, outcome and all indicator columns."""
+    """Count, outcome and all indicator columns, in one projection: flags built on
+    other flags take their expressions, which the generated code shares."""
     description, type_, zone = F.col("description"), F.col("type"), F.col("zone")
-    described = rows.withColumns(
+    counts = pitches.count_columns(F.col("balls"), F.col("strikes"))
+    swings = flags.swing_flags(description)
+    plays_ = flags.event_flags(F.col("events"), type_, description)
+    taken = strike_zone.take_location(zone, swings["swing"])
+    return rows.withColumns(
         {
             "DH": pitches.doubleheader_game(F.col("gameid")),
             "month": F.month("game_date"),
             "p_kind": pitches.pitch_family(F.col("pitch_name")),
             "ntype": plays.outcome(description),
-            **pitches.count_columns(F.col("balls"), F.col("strikes")),
+            **counts,
             **flags.plate_appearance_flags(F.col("events")),
-            **flags.swing_flags(description),
+            **swings,
             **flags.zone_flags(zone),
             **flags.batted_ball_flags(F.col("bb_type")),
-            **flags.event_flags(F.col("events"), type_, description),
+            **plays_,
             **flags.contact_flags(F.col("launch_speed_angle")),
+            **flags.discipline_flags(zone, counts["count"], {**swings, **plays_}),
+            **taken,
+            **flags.take_flags(taken["l_r"], taken["h_l"]),
             **in_play_copies(),
         }
     )
-    done = {name: F.col(name) for name in ("swing", "con", "inplay", "whiff")}
-    located = described.withColumns(
-        {
-            **flags.discipline_flags(zone, F.col("count"), done),
-            **strike_zone.take_location(zone, F.col("swing")),
-        }
-    )
-    return located.withColumns(flags.take_flags(F.col("l_r"), F.col("h_l")))
 
 
 def classified_only(rows: DataFrame) -> DataFrame:
