@@ -21,9 +21,17 @@ def main(arguments: list[str] | None = None) -> None:
         action="store_true",
         help="replace only the leagues and seasons this run produces",
     )
+    parser.add_argument(
+        "--shuffle-partitions",
+        type=int,
+        help="upper bound, which adaptive execution lowers: pitch bytes over 256 MB is a good one",
+    )
     options = parser.parse_args(arguments)
     leagues = tuple(by_code[code] for code in options.league or by_code)
-    spark = build_session()
+    settings = {}
+    if options.shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(options.shuffle_partitions)
+    spark = build_session(**settings)
     sources = read_parquet(spark, options.sources)
     publish(sources, options.out, leagues, replace_all=not options.keep_others)
 

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Size of rebalanced partitions, and so of published files before compression.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # Call sites of Column operations are looked up in the JVM one by one.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

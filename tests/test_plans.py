@@ -7,7 +7,7 @@ import pytest
 from pitchlake import leagues as lg, schema
 from pitchlake.job import main
 from pitchlake.plans import fact
-from pitchlake.sources import JdbcSource, Sources, read_fact, read_jdbc
+from pitchlake.sources import JdbcSource, Sources, land_sources, read_fact, read_jdbc
 from pitchlake.session import scratch_path
 
 
@@ -71,6 +71,29 @@ def test_one_league_can_be_replaced_alone(spark, sources):
     assert {r["level"] for r in read_fact(spark, path).select("level").distinct().collect()} == {"AAA"}
 
 
+def test_job_publishes_from_landed_tables(spark, sources):
+    landed, out = scratch_path(spark, "landed"), scratch_path(spark, "out")
+    land_sources(sources, landed)
+    main(["--sources", landed, "--out", out, "--league", "KBSA"])
+    published = read_fact(spark, out)
+    assert published.columns == schema.OUTPUT_COLUMNS
+    assert published.count() == fact.pitch_fact(sources, (lg.KBSA,)).count() > 0
+
+
+def test_only_two_wide_shuffles_without_broadcasts(spark, sources):
+    """One exchange per side of the two pitch joins; the filter below the first."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = fact.pitch_fact(sources)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    assert plan.count("Exchange hashpartitioning(game_seq") == 4
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert plan.count("SortMergeJoin") == 2
+
+
 def test_job_refuses_an_unknown_league():
     with pytest.raises(SystemExit):
         main(["--sources", "in", "--out", "out", "--league", "XYZ"])
