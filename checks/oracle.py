@@ -358,7 +358,11 @@ STEPS = {
  left join people catching on catching.year_text = f.season_text and catching.tm_id = f.catcher_text""",
     "extracted": f"select n.* from named n join rules on {IN_LEAGUE.format(t='n')}",
     "wanted": f"select n.* from pitch n join rules on {IN_LEAGUE.format(t='n')}",
-    "arms": """select lower(level) as league, pitcher, avg(rel_height) as mean_height,
+    # The mean as an exact sum of hundredths of a foot: a sum of fractions would
+    # depend on the order of the rows.
+    "arms": """select lower(level) as league, pitcher,
+  cast(sum(cast(round(release_pos_z * 100) as bigint)) as double) / 100 / count(release_pos_z)
+    * 0.3048e0 as mean_height,
   coalesce(avg(rel_height) <= 1.5e0, false) as side_arm, min(p_throw) as hand
  from extracted where pitcher is not null group by lower(level), pitcher""",
     "slotted": """select e.*, if(side_arm, 'S', 'R') as p_type, if(side_arm, 'S', hand) as p_throws
@@ -427,7 +431,7 @@ def statements() -> dict[str, str]:
         ),
         # aggregates and order
         "agg_release_height": statement(
-            "league, pitcher, round(mean_height, 6) as mean_rel_height", "arms"
+            "league, pitcher, mean_height as mean_rel_height", "arms"
         ),
         "agg_side_arm_pitchers": statement("league, pitcher", "arms where side_arm"),
         "agg_pitcher_hand": statement(

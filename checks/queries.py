@@ -164,9 +164,7 @@ def queries() -> dict[str, Query]:
         "join_catcher": _role(players.CATCHER),
         # aggregates and order
         "agg_release_height": _over(
-            lambda s: _heights(s).select(
-                "league", "pitcher", F.round("mean_rel_height", 6).alias("mean_rel_height")
-            )
+            lambda s: _heights(s).select("league", "pitcher", "mean_rel_height")
         ),
         "agg_side_arm_pitchers": _over(lambda s: arm_slot.side_arm_pitchers(_extracted(s))),
         "agg_pitcher_hand": _over(
