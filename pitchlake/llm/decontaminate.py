@@ -24,14 +24,14 @@ class EditSearch:
     times at samples places. item_bytes: text of items that one pass over the
     documents compares with; more items take more passes.
 
-    With 12 walks of 6 tables of 3 places, copies with 20 % of their words
+    With 12 walks of 4 tables of 3 places, copies with 20 % of their words
     edited at random were all found in the tests' trials; exact copies always are.
     """
 
     words: int = 5
     distance: float = 0.2
     walks: int = 12
-    tables: int = 6
+    tables: int = 4
     samples: int = 3
     item_bytes: int = 16 << 20
     seed: int = 4
@@ -40,31 +40,35 @@ class EditSearch:
         return int(self.distance * n + 1e-9)
 
 
-def walk(symbols: np.ndarray, seed: int) -> np.ndarray:
-    """CGK embedding of rows of n symbols, padded, into 3n: at each step a random
-    bit that depends on step and symbol tells whether to go on to the next one."""
+def embed(symbols: np.ndarray, search: EditSearch) -> np.ndarray:
+    """CGK embeddings of rows of n symbols by every walk: at each step a random
+    bit that depends on walk, step and symbol tells whether to go on to the next
+    symbol. The first 2n of the 3n places, where most walks still read."""
     rows, n = symbols.shape
-    padded = np.concatenate([symbols, np.full((rows, 1), _PAD)], axis=1)
-    at, row = np.zeros(rows, np.int64), np.arange(rows)
-    out = np.empty((rows, 3 * n), np.uint64)
-    for step in range(3 * n):
-        here = padded[row, at]
-        out[:, step] = here
-        at = np.minimum(at + (mix(here, seed * 1_000_003 + step) & np.uint64(1)).astype(np.int64), n)
+    padded = np.concatenate([symbols, np.full((rows, 1), _PAD)], axis=1).ravel()
+    low = np.repeat(np.arange(rows) * (n + 1), search.walks).reshape(rows, search.walks)
+    at, high = low.copy(), low + n
+    rng = np.random.default_rng([search.seed, n])
+    coins = rng.integers(0, 2**63, (2 * n, search.walks), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    out = np.empty((2 * n, rows, search.walks), np.uint64)
+    for step in range(2 * n):
+        here = padded.take(at)
+        out[step] = here
+        at += ((here * coins[step]) >> np.uint64(63)).astype(np.int64)
+        np.minimum(at, high, out=at)
     return out
 
 
-def sampled(embedded: np.ndarray, n: int, search: EditSearch, walk_no: int) -> np.ndarray:
-    """Keys of the tables of one walk: hashes of a few places each. Places are
-    of the first 2n, where most walks still read symbols."""
-    rng = np.random.default_rng([search.seed, walk_no, n])
+def sampled(embedded: np.ndarray, search: EditSearch) -> np.ndarray:
+    """Keys of all tables, each the hash of a few places of one walk."""
+    rng = np.random.default_rng([search.seed, len(embedded), 1])
     keys = []
-    for _ in range(search.tables):
-        key = np.zeros(len(embedded), np.uint64)
-        for place in rng.choice(2 * n, search.samples, replace=False):
-            key = combine(key, embedded[:, place])
-        keys.append(key)
-    return np.stack(keys)
+    for w in range(search.walks):
+        places = [rng.choice(len(embedded), search.samples, replace=False) for _ in range(search.tables)]
+        odd = rng.integers(0, 2**63, (search.tables, search.samples, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        # What lies at a place is a hash already: odd multiples tell places and tables apart.
+        keys.append((embedded[:, :, w][np.array(places)] * odd).sum(axis=1) + rng.integers(0, 2**63, dtype=np.uint64))
+    return np.concatenate(keys)
 
 
 def edit_distances(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,18 +105,19 @@ class Items:
         for n in sorted(by_length):
             symbols = np.array(by_length[n], np.uint64)
             grams = np.unique(combine(symbols[:, :-1], symbols[:, 1:]))
-            keys = [sampled(walk(symbols, w), n, search, w) for w in range(search.walks)]
-            order = [np.argsort(k, axis=1, kind="stable") for k in keys]
+            keys = sampled(embed(symbols, search), search)
+            order = np.argsort(keys, axis=None, kind="stable")
             self.classes.append(
                 {
                     "n": n,
                     "symbols": symbols,
                     "ids": [ids[s] for s in by_length[n]],
+                    "words": np.unique(symbols),
                     "grams": grams,
                     # An item of n words within k edits of a stretch shares so many pairs of words.
                     "least": n - 1 - 2 * search.edits(n),
-                    "keys": [np.take_along_axis(k, o, 1) for k, o in zip(keys, order)],
-                    "order": order,
+                    "keys": keys.ravel()[order],
+                    "item": order % len(symbols),
                 }
             )
         self.grams = np.unique(np.concatenate([c["grams"] for c in self.classes])) if self.classes else np.zeros(0, np.uint64)
@@ -137,52 +142,57 @@ class Items:
         end = first[1:][doc]
         out: dict[tuple[int, int], tuple[int, int]] = {}
         total = np.concatenate([[0], np.cumsum(hit), [hit.sum()]])
+
+        def dense(start: np.ndarray, classes: list[dict]) -> np.ndarray:
+            """Starts of windows with enough pairs of any item for any of the classes."""
+            stop = np.minimum(start + classes[-1]["n"], end[start]) - 1
+            return start[total[stop] - total[start] >= min(c["least"] for c in classes)]
+
+        start = dense(np.arange(n_words), self.classes)
         group = 0
-        while group < len(self.classes):
-            # Lengths that lie near together first share a coarser test.
+        while len(start) and group < len(self.classes):
+            # Lengths that lie near together share a finer test.
             near = [c for c in self.classes[group:] if c["n"] <= 1.25 * self.classes[group]["n"]]
             group += len(near)
-            widest = near[-1]["n"]
-            start = np.arange(n_words)
-            stop = np.minimum(start + widest, end) - 1
-            dense = np.flatnonzero(total[np.maximum(stop, start)] - total[start] >= min(c["least"] for c in near))
-            if not len(dense):
+            here = dense(start, near)
+            if not len(here):
                 continue
+            covered = np.zeros(n_words + 1, np.int64)
+            covered[:-1] += np.bincount(here, minlength=n_words)
+            covered -= np.bincount(np.minimum(here + near[-1]["n"], n_words), minlength=n_words + 1)
+            places = np.flatnonzero(hit & (np.cumsum(covered)[: n_words - 1] > 0))
             for c in near:
-                self._find_class(c, h, grams, hit, doc, end, first, dense, out)
+                self._find_class(c, h, places[np.isin(grams[places], c["grams"])], doc, end, first, here, out)
         return [(d, i, *v) for (d, i), v in out.items()]
 
-    def _find_class(self, c: dict, h, grams, hit, doc, end, first, dense, out) -> None:
+    def _find_class(self, c: dict, h, own, doc, end, first, start, out) -> None:
+        """own: places of the pairs of words that items of this length have. The
+        best stretch can be taken to begin with a word of the item: any other
+        first word costs as much as to leave it out."""
         n, k = c["n"], self.search.edits(c["n"])
-        # Pairs of words that items of this length have, counted near the dense places only.
-        near = np.zeros(len(h) + 1, np.int64)
-        np.add.at(near, dense, 1)
-        np.add.at(near, np.minimum(dense + n, len(h)), -1)
-        own = np.flatnonzero(hit & (np.cumsum(near[:-1])[:-1] > 0))
-        own = own[np.isin(grams[own], c["grams"])]
-        total = np.searchsorted(own, np.arange(len(h) + 1))
-        stop = np.maximum(np.minimum(dense + n, end[dense]) - 1, dense)
-        at = dense[total[stop] - total[dense] >= c["least"]]
+        stop = np.minimum(start + n, end[start]) - 1
+        enough = np.searchsorted(own, stop) - np.searchsorted(own, start) >= c["least"]
+        at = start[enough]
+        at = at[np.isin(h[at], c["words"])]
         for a in range(0, len(at), 4096):
             self._retrieve(c, n, k, h, doc, end, first, at[a : a + 4096], out)
 
     def _retrieve(self, c: dict, n: int, k: int, h, doc, end, first, at, out) -> None:
+        """Look the windows that start at the given words up, and confirm."""
         place = at[:, None] + np.arange(n)
         inside = place < end[at][:, None]
         windows = np.where(inside, h[np.minimum(place, len(h) - 1)], _PAD)
-        pairs = []
-        for w in range(self.search.walks):
-            asked = sampled(walk(windows, w), n, self.search, w)
-            for mine, keys, order in zip(asked, c["keys"][w], c["order"][w]):
-                low, high = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
-                count = high - low
-                window = np.repeat(np.arange(len(at)), count)
-                item = order[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - low, count)]
-                pairs.append(np.stack([item, window]))
-        found = np.unique(np.concatenate(pairs, axis=1), axis=1)
-        if not found.shape[1]:
+        asked = sampled(embed(windows, self.search), self.search).ravel()
+        low = np.searchsorted(c["keys"], asked, "left")
+        some = np.flatnonzero(c["keys"][np.minimum(low, len(c["keys"]) - 1)] == asked)
+        if not len(some):
             return
-        item, start = found[0], at[found[1]]
+        low = low[some]
+        count = np.searchsorted(c["keys"], asked[some], "right") - low
+        window = np.repeat(some % len(at), count)
+        item = c["item"][np.arange(count.sum()) + np.repeat(low - (np.cumsum(count) - count), count)]
+        item, window = np.divmod(np.unique(item * len(at) + window), len(at))
+        start = at[window]
         # Windows of one item that lie close are confirmed together, in one text.
         order = np.lexsort((start, item))
         item, start = item[order], start[order]
@@ -214,7 +224,7 @@ def _search(rows: list[tuple[int, str]], search: EditSearch, id_type: pa.DataTyp
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(rows, search)
         for batch in batches:
-            for i, j in slices(batch.column("text")):
+            for i, j in slices(batch.column("text"), 8 << 20):
                 words = words_of(batch.column("text")[i:j], ALPHANUMERIC)
                 found = items.find(words.hashes(LOWER), words.first)
                 if not found:

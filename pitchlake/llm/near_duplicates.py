@@ -46,6 +46,7 @@ class ChosenPaths:
 
 
 _rng = np.random.default_rng(7)
+_LAST = np.uint64(2**64 - 1)
 _ODD = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -65,42 +66,43 @@ def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
         # Shorter sequences keep their shorter name; only first places count then.
         joined = np.where(here, combine(joined, after, k), joined)
         whole = whole & here
-    places = np.flatnonzero(whole)
     firsts = words.first[:-1][short]
-    places = np.sort(np.concatenate([places, firsts]))
-    value, owner = joined[places], doc[places]
-    order = np.lexsort((value, owner))
-    value, owner = value[order], owner[order]
-    distinct = np.ones(len(value), bool)
-    distinct[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
-    value, owner = value[distinct], owner[distinct]
-    return value, np.searchsorted(owner, np.arange(len(n_words) + 1))
+    whole[firsts] = True
+    value = joined[whole]
+    bounds = np.concatenate([[0], np.cumsum(whole)])[words.first]
+    sets = [np.unique(value[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+    offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets], dtype=np.int64)])
+    return (np.concatenate(sets) if sets else value), offsets
+
+
+def _child(keys: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Node that a node's token leads to; both are hashes already."""
+    x = (keys * np.uint64(0x9FB21C651E98DF25) + tokens) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
 
 def paths(tokens: np.ndarray, p: ChosenPaths) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Nodes of a set at every depth, and each one's place among those above.
 
     A node hashes all tokens by its own function and goes on with the token of
-    least hash, and with the next one too with a chance that makes 1 / 0.8
-    branches on average: so many that a pair of that resemblance shares one
-    branch on average. The choice depends on node and tokens alone.
+    least hash. One node in four, by its name, takes the next token too; that
+    makes 1 / 0.8 branches on average, so many that a pair of that resemblance
+    shares one on average. The choice depends on node and tokens alone.
     """
-    extra = np.uint64((100 / p.percent - 1) * 2**32)
+    forks = np.uint64((100 / p.percent - 1) * 2**32)
     keys = mix(np.arange(1, p.trees + 1, dtype=np.uint64), 900)
     nodes, parents = [], []
     for _ in range(p.depth):
-        order = (tokens[None, :] ^ keys[:, None]) * (mix(keys, 5) | np.uint64(1))[:, None]
-        rows = np.arange(len(keys))
+        order = (tokens ^ keys[:, None]) * (keys | np.uint64(1))[:, None]
         first = order.argmin(axis=1)
-        chosen = [combine(keys, tokens[first], 3)]
-        owner = [rows]
+        chosen = [_child(keys, tokens[first])]
+        owner = [np.arange(len(keys))]
         if len(tokens) > 1:
-            order[rows, first] = np.iinfo(np.uint64).max
-            second = order.argmin(axis=1)
-            child = combine(keys, tokens[second], 3)
-            also = (mix(child, 17) >> np.uint64(32)) < extra
-            chosen.append(child[also])
-            owner.append(rows[also])
+            fork = np.flatnonzero((keys >> np.uint64(32)) < forks)
+            rest = order[fork]
+            rest[np.arange(len(fork)), first[fork]] = _LAST
+            chosen.append(_child(keys[fork], tokens[rest.argmin(axis=1)]))
+            owner.append(fork)
         keys = np.concatenate(chosen)
         nodes.append(keys)
         parents.append(np.concatenate(owner))

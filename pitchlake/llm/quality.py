@@ -26,8 +26,8 @@ class Learning:
     most_passages: int = 64
     hidden: int = 16
     gate: int = 8
-    steps: int = 400
-    rate: float = 0.02
+    steps: int = 100
+    rate: float = 0.03
     decay: float = 1e-3
     keep: float = 0.3
     seed: int = 9
@@ -72,17 +72,19 @@ def passages(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     bytes_ = np.maximum(per_passage(length), 1)
     kinds = []
     for marks in KINDS:
-        sums = np.concatenate([[0], np.cumsum(marks[words.data], dtype=np.int64)])
+        sums = np.zeros(len(words.data) + 1, np.int32)
+        np.cumsum(marks[words.data], out=sums[1:])
         kinds.append((sums[words.end] - sums[words.start]).astype(np.float64))
     upper, lower, digit, high, point, sign = kinds
     columns = [per_passage(k) / bytes_ for k in kinds]
     h = words.hashes(LOWER)
     same = np.zeros(n)
     same[1:] = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1])
-    key = np.sort(np.stack([passage.astype(np.uint64), h], axis=1).view([("p", "u8"), ("h", "u8")]).ravel(), order=("p", "h"))
+    # Passage and 40 bits of the word's hash: equal neighbours are equal words.
+    key = np.sort((passage.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)))
     fresh = np.ones(n)
     fresh[1:] = key[1:] != key[:-1]
-    distinct = np.bincount(key["p"].astype(np.int64), fresh, total)
+    distinct = np.bincount((key >> np.uint64(40)).astype(np.int64), fresh, total)
     last = words.data[words.end - 1]
     lead = words.data[words.start]
     letters = (upper > 0) & (lower == 0) & (length > 1)
