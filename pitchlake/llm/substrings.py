@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from math import ceil
 
 import numpy as np
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import new_folder, written
+from .storage import new_folder, publish_file, read_range, written
 from .words import Words, combine, find_words, mix, slices, text_bytes, words_of
 
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
@@ -32,15 +32,12 @@ _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 class Passages:
     """window: words of a passage that must repeat. rounds: of recompression.
     block_bytes: text that is worked at once, one longer text aside.
-    bucket_words: words of the corpus for each bucket of names or windows.
-    broadcast_bytes: largest set of answers that is sent to all tasks; larger
-    ones are joined by a shuffle."""
+    bucket_words: words of the corpus for each bucket of names or windows."""
 
     window: int = 20
     rounds: int = 2
     block_bytes: int = 4 << 20
     bucket_words: int = 2 << 20
-    broadcast_bytes: int = 64 << 20
 
 
 # ---- recompression of one block ---------------------------------------------
@@ -234,10 +231,10 @@ def _repeated_names(group: pa.Table) -> pa.Table:
     return pa.table({"block": group["block"], "bucket": group["bucket"], "bits": [np.packbits(c).tobytes() for c in cuts]})
 
 
-def _unpacked(flags, bounds: np.ndarray) -> np.ndarray:
+def _unpacked(flags: list[dict], bounds: np.ndarray) -> np.ndarray:
     """Flags of a block from its buckets' bits."""
     out = np.zeros(bounds[-1], bool)
-    for f in flags.as_py() or []:
+    for f in flags:
         a, b = bounds[f["bucket"]], bounds[f["bucket"] + 1]
         out[a:b] = np.unpackbits(np.frombuffer(f["bits"], np.uint8), count=b - a)
     return out
@@ -256,14 +253,15 @@ def _candidates(words: Words, s: Symbols, p: Passages, buckets: int, flags) -> n
     return np.flatnonzero((np.cumsum(hits[:n]) == 0) & (left >= p.window))
 
 
-def _emit_windows(p: Passages, name_buckets: int, buckets: int):
+def _emit_windows(p: Passages, folder: str, buckets: int):
     """Windows that may repeat, by bucket of their hash. Of equal ones in a block
     the earliest goes on, the others are known to be repeats."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = _Answers(folder, "names")
         for row in _rows(batches):
             words, hashes, s = _parsed(row, p.rounds)
-            at = _candidates(words, s, p, name_buckets, row["flags"])
+            at = _candidates(words, s, p, buckets, names.of(row["block"].as_py()))
             if not len(at):
                 continue
             h1, h2 = window_hashes(hashes, at, p.window)
@@ -356,17 +354,17 @@ def kept_texts(words: Words, removed: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return data[mask], offsets
 
 
-def _emit_documents(p: Passages, buckets: int, texts: bool):
+def _emit_documents(p: Passages, folder: str, texts: bool):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = _Answers(folder, "windows")
         for row in _rows(batches):
             words, _, _ = _parsed(row, None)
-            earlier = {f["bucket"]: f["bits"] for f in row["flags"].as_py() or []}
             starts = [np.zeros(0, np.int64)]
-            for w in row["windows"].as_py() or []:
+            for w in windows.of(row["block"].as_py()):
                 at = np.frombuffer(w["starts"], "<u4").astype(np.int64)
                 first = np.unpackbits(np.frombuffer(w["first"], np.uint8), count=len(at)).astype(bool)
                 gone = ~first
-                bits = np.unpackbits(np.frombuffer(earlier[w["bucket"]], np.uint8), count=int(first.sum()))
+                bits = np.unpackbits(np.frombuffer(w["bits"], np.uint8), count=int(first.sum()))
                 gone[first] = bits.astype(bool)
                 starts.append(at[gone])
             removed = removed_words(words, np.concatenate(starts), p.window)
@@ -388,17 +386,38 @@ def _emit_documents(p: Passages, buckets: int, texts: bool):
     return emit
 
 
-def _measured(df: DataFrame, *columns: str) -> int:
-    size = sum((F.octet_length(c) + 16 for c in columns), F.lit(32))
-    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+def _published(answers: DataFrame, folder: str, name: str) -> None:
+    """Write answers to blocks as one file for each task that packed blocks. A
+    file holds what belongs to one partition of the input, so that blocks need
+    neither be dealt anew nor answers be sent to all tasks."""
 
+    def write(group: pa.Table) -> pa.Table:
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, group.schema) as stream:
+            stream.write_table(group)
+        publish_file(folder, f"{name}-{group['task'][0].as_py()}", [out.getvalue()])
+        return group.slice(0, 1).select(["task"])
 
-def _with_answers(blocks: DataFrame, answers: DataFrame, name: str, p: Passages, *sized: str) -> DataFrame:
-    """Blocks with the list of their buckets' answers."""
-    fields = [c for c in answers.columns if c != "block"]
-    small = _measured(answers, *sized) <= p.broadcast_bytes
-    listed = answers.groupBy("block").agg(F.collect_list(F.struct(*fields)).alias(name))
-    return blocks.join(F.broadcast(listed) if small else listed, "block", "left")
+    tasks = answers.withColumn("task", F.shiftright("block", 40))
+    tasks.groupBy("task").applyInArrow(write, "task long").write.format("noop").mode("overwrite").save()
+
+
+class _Answers:
+    """Answers to the blocks of one task after another, read from their files."""
+
+    def __init__(self, folder: str, name: str) -> None:
+        self.folder, self.name, self.task, self.held = folder, name, None, {}
+
+    def of(self, block: int) -> list[dict]:
+        if block >> 40 != self.task:
+            self.task, self.held = block >> 40, {}
+            try:
+                raw = read_range(self.folder, f"{self.name}-{self.task}")
+            except FileNotFoundError:  # none of this task's blocks got an answer
+                return []
+            for row in pa.ipc.open_stream(raw).read_all().to_pylist():
+                self.held.setdefault(row["block"], []).append(row)
+        return self.held.get(block, [])
 
 
 def drop_repeats(
@@ -415,34 +434,32 @@ def drop_repeats(
     others; rows that repeat an id follow one another in the order in which the
     table is read. Windows are told apart by 96 bits of hash beside their bucket.
 
-    Documents are packed into blocks. Names and windows travel as packed arrays,
-    one for each block and bucket, and only once per block: however often a
-    passage occurs, a bucket receives it at most once from every block.
+    Documents are packed into blocks, which stay where they are written. Names
+    and windows travel as packed arrays, one for each block and bucket, and only
+    once per block: however often a passage occurs, a bucket receives it at most
+    once from every block. Answers come back by files.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     packed = rows.mapInArrow(_blocks("doc_id", "text", p.block_bytes), "block long, ids array<long>, texts array<string>, words long")
-    folder = new_folder(docs.sparkSession, "blocks")
-    packed.write.option("compression", "zstd").parquet(folder)
-    blocks = docs.sparkSession.read.schema(packed.schema).parquet(folder)
+    folder = new_folder(docs.sparkSession, "passages")
+    packed.write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    blocks = docs.sparkSession.read.schema(packed.schema).parquet(f"{folder}/blocks")
     n_words = blocks.agg(F.sum("words")).first()[0] or 0
     buckets = max(1, ceil(n_words / p.bucket_words))
 
     flags = "block long, bucket long, bits binary"
     names = blocks.mapInArrow(_emit_names(p, buckets), "block long, bucket long, names binary, twice binary")
-    repeated = written(names.groupBy("bucket").applyInArrow(_repeated_names, flags), "names")
+    _published(names.groupBy("bucket").applyInArrow(_repeated_names, flags), folder, "names")
 
     windows = written(
-        _with_answers(blocks, repeated, "flags", p, "bits").mapInArrow(
-            _emit_windows(p, buckets, buckets),
+        blocks.mapInArrow(
+            _emit_windows(p, folder, buckets),
             "block long, bucket long, starts binary, first binary, high binary, low binary, docs binary",
         ),
         "windows",
     )
-    earlier = written(
-        windows.select("block", "bucket", "high", "low", "docs").groupBy("bucket").applyInArrow(_earlier_windows, flags),
-        "earlier",
-    )
-    answered = _with_answers(blocks, earlier, "flags", p, "bits")
-    answered = _with_answers(answered, windows.select("block", "bucket", "starts", "first"), "windows", p, "starts", "first")
+    earlier = windows.select("block", "bucket", "high", "low", "docs").groupBy("bucket").applyInArrow(_earlier_windows, flags)
+    found = windows.select("block", "bucket", "starts", "first").join(earlier, ["block", "bucket"])
+    _published(found, folder, "windows")
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if texts else "")
-    return answered.mapInArrow(_emit_documents(p, buckets, texts), out)
+    return blocks.mapInArrow(_emit_documents(p, folder, texts), out)
