@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import new_folder, publish_file, read_range, written
+from .storage import new_folder, publish_file, read_range
 from .words import Words, combine, find_words, mix, slices, text_bytes, words_of
 
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
@@ -253,38 +253,53 @@ def _candidates(words: Words, s: Symbols, p: Passages, buckets: int, flags) -> n
     return np.flatnonzero((np.cumsum(hits[:n]) == 0) & (left >= p.window))
 
 
+@dataclass
+class _Windows:
+    """Windows of a block that may repeat, by bucket and hash, in order of their
+    documents' ids and places; first marks the earliest of equal ones."""
+
+    start: np.ndarray
+    doc: np.ndarray
+    high: np.ndarray
+    low: np.ndarray
+    first: np.ndarray
+    bounds: np.ndarray
+
+
+def _windows(row: dict, names: _Answers, p: Passages, buckets: int) -> tuple[Words, _Windows | None]:
+    words, hashes, s = _parsed(row, p.rounds)
+    at = _candidates(words, s, p, buckets, names.of(row["block"].as_py()))
+    if not len(at):
+        return words, None
+    h1, h2 = window_hashes(hashes, at, p.window)
+    doc = _order_ids(row["ids"])[np.searchsorted(words.first, at, "right") - 1]
+    bucket = (h1 % np.uint64(buckets)).astype(np.int64)
+    # What travels tells windows apart, here as there.
+    low = (h2 >> np.uint64(32)).astype("<u4")
+    order = np.lexsort((at, doc, low, h1, bucket))
+    h1, low, doc, at, bucket = (x[order] for x in (h1, low, doc, at, bucket))
+    first = np.ones(len(at), bool)
+    first[1:] = (h1[1:] != h1[:-1]) | (low[1:] != low[:-1])
+    return words, _Windows(at, doc, h1, low, first, np.searchsorted(bucket, np.arange(buckets + 1)))
+
+
 def _emit_windows(p: Passages, folder: str, buckets: int):
-    """Windows that may repeat, by bucket of their hash. Of equal ones in a block
-    the earliest goes on, the others are known to be repeats."""
+    """Windows that may repeat; of equal ones in a block the earliest goes on."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = _Answers(folder, "names")
         for row in _rows(batches):
-            words, hashes, s = _parsed(row, p.rounds)
-            at = _candidates(words, s, p, buckets, names.of(row["block"].as_py()))
-            if not len(at):
-                continue
-            h1, h2 = window_hashes(hashes, at, p.window)
-            ids = _order_ids(row["ids"])
-            doc = ids[np.searchsorted(words.first, at, "right") - 1]
-            bucket = (h1 % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((at, doc, h2, h1, bucket))
-            h1, h2, doc, at, bucket = (x[order] for x in (h1, h2, doc, at, bucket))
-            first = np.ones(len(at), bool)
-            first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-            bounds = np.searchsorted(bucket, np.arange(buckets + 1))
-            high, low = h1, (h2 >> np.uint64(32)).astype("<u4")
-            yield from _bucket_rows(
-                row["block"].as_py(),
-                bounds,
-                lambda a, b: {
-                    "starts": at[a:b].astype("<u4").tobytes(),
-                    "first": np.packbits(first[a:b]).tobytes(),
-                    "high": high[a:b][first[a:b]].tobytes(),
-                    "low": low[a:b][first[a:b]].tobytes(),
-                    "docs": _packed(doc[a:b][first[a:b]]),
-                },
-            )
+            _, w = _windows(row, names, p, buckets)
+            if w is not None:
+                yield from _bucket_rows(
+                    row["block"].as_py(),
+                    w.bounds,
+                    lambda a, b: {
+                        "high": w.high[a:b][w.first[a:b]].tobytes(),
+                        "low": w.low[a:b][w.first[a:b]].tobytes(),
+                        "docs": _packed(w.doc[a:b][w.first[a:b]]),
+                    },
+                )
 
     return emit
 
@@ -354,20 +369,20 @@ def kept_texts(words: Words, removed: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return data[mask], offsets
 
 
-def _emit_documents(p: Passages, folder: str, texts: bool):
+def _emit_documents(p: Passages, folder: str, buckets: int, texts: bool):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = _Answers(folder, "windows")
+        names, earlier = _Answers(folder, "names"), _Answers(folder, "earlier")
         for row in _rows(batches):
-            words, _, _ = _parsed(row, None)
-            starts = [np.zeros(0, np.int64)]
-            for w in windows.of(row["block"].as_py()):
-                at = np.frombuffer(w["starts"], "<u4").astype(np.int64)
-                first = np.unpackbits(np.frombuffer(w["first"], np.uint8), count=len(at)).astype(bool)
-                gone = ~first
-                bits = np.unpackbits(np.frombuffer(w["bits"], np.uint8), count=int(first.sum()))
-                gone[first] = bits.astype(bool)
-                starts.append(at[gone])
-            removed = removed_words(words, np.concatenate(starts), p.window)
+            words, w = _windows(row, names, p, buckets)
+            starts = np.zeros(0, np.int64)
+            if w is not None:
+                gone = ~w.first
+                for f in earlier.of(row["block"].as_py()):
+                    a, b = w.bounds[f["bucket"]], w.bounds[f["bucket"] + 1]
+                    here = a + np.flatnonzero(w.first[a:b])
+                    gone[here] = np.unpackbits(np.frombuffer(f["bits"], np.uint8), count=len(here))
+                starts = w.start[gone]
+            removed = removed_words(words, starts, p.window)
             data, offsets = kept_texts(words, removed)
             view = memoryview(data)
             totals = np.concatenate([[0], np.cumsum(removed)])[words.first]
@@ -437,7 +452,8 @@ def drop_repeats(
     Documents are packed into blocks, which stay where they are written. Names
     and windows travel as packed arrays, one for each block and bucket, and only
     once per block: however often a passage occurs, a bucket receives it at most
-    once from every block. Answers come back by files.
+    once from every block. Answers come back by files, and the last pass finds a
+    block's windows again rather than have them stored.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     packed = rows.mapInArrow(_blocks("doc_id", "text", p.block_bytes), "block long, ids array<long>, texts array<string>, words long")
@@ -451,15 +467,9 @@ def drop_repeats(
     names = blocks.mapInArrow(_emit_names(p, buckets), "block long, bucket long, names binary, twice binary")
     _published(names.groupBy("bucket").applyInArrow(_repeated_names, flags), folder, "names")
 
-    windows = written(
-        blocks.mapInArrow(
-            _emit_windows(p, folder, buckets),
-            "block long, bucket long, starts binary, first binary, high binary, low binary, docs binary",
-        ),
-        "windows",
+    windows = blocks.mapInArrow(
+        _emit_windows(p, folder, buckets), "block long, bucket long, high binary, low binary, docs binary"
     )
-    earlier = windows.select("block", "bucket", "high", "low", "docs").groupBy("bucket").applyInArrow(_earlier_windows, flags)
-    found = windows.select("block", "bucket", "starts", "first").join(earlier, ["block", "bucket"])
-    _published(found, folder, "windows")
+    _published(windows.groupBy("bucket").applyInArrow(_earlier_windows, flags), folder, "earlier")
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if texts else "")
-    return blocks.mapInArrow(_emit_documents(p, folder, texts), out)
+    return blocks.mapInArrow(_emit_documents(p, folder, buckets, texts), out)
