@@ -392,11 +392,11 @@ def _emit_documents(p: Passages, folder: str, buckets: int, texts: bool):
                 pa.array(np.diff(totals)),
                 pa.array([hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(offsets[:-1], offsets[1:])]),
             ]
-            names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+            fields = ["doc_id", "n_words", "n_removed", "kept_sha256"]
             if texts:
                 columns.append(pa.array([bytes(view[a:b]).decode() for a, b in zip(offsets[:-1], offsets[1:])]))
-                names.append("kept")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                fields.append("kept")
+            yield pa.RecordBatch.from_arrays(columns, names=fields)
 
     return emit
 
