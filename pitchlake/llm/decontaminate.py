@@ -224,7 +224,7 @@ def _search(rows: list[tuple[int, str]], search: EditSearch, id_type: pa.DataTyp
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(rows, search)
         for batch in batches:
-            for i, j in slices(batch.column("text"), 8 << 20):
+            for i, j in slices(batch.column("text"), 4 << 20):
                 words = words_of(batch.column("text")[i:j], ALPHANUMERIC)
                 found = items.find(words.hashes(LOWER), words.first)
                 if not found:

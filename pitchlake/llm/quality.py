@@ -234,16 +234,15 @@ def learn_quality(
     return Attention(learning).fit(np.concatenate(x).astype(np.float64), first, y, learning)
 
 
-def _score(model: Attention, learning: Learning):
+def _score(model: Attention, learning: Learning, text: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [np.zeros(0)]
-            for i, j in slices(batch.column("_text")):
-                x, first = passages(words_of(batch.column("_text")[i:j]), learning.passage)
+            for i, j in slices(batch.column(text)):
+                x, first = passages(words_of(batch.column(text)[i:j]), learning.passage)
                 scores.append(model.scores(x.astype(np.float64), first))
-            names = [n for n in batch.schema.names if n != "_text"]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], pa.array(np.concatenate(scores))], names=[*names, "_score"]
+                [*[batch.column(n) for n in keep], pa.array(np.concatenate(scores))], names=[*keep, "_score"]
             )
 
     return run
@@ -256,9 +255,9 @@ def score_quality(
     predicted (1 if the score is at least learning.keep). Every passage of the
     whole text counts; null and empty texts score as one empty passage. Neither
     labels nor any other column is an input."""
-    rows = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    scored = rows.mapInArrow(_score(model, learning), f"{kinds}, _score double")
+    rows = docs.select(*dict.fromkeys([*keep, text]))
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    scored = rows.mapInArrow(_score(model, learning, text, keep), f"{kinds}, _score double")
     return scored.select(
         *[F.col(f"`{c}`") for c in keep],
         F.col("_score").alias("score"),

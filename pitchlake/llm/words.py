@@ -104,7 +104,7 @@ def find_words(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray = NOT_SP
     return Words(data, start, np.flatnonzero(ends) + 1, np.searchsorted(start, offsets), offsets)
 
 
-def slices(texts: pa.Array, most_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about most_bytes of text; one longer row is a range of its own."""
     _, offsets = text_bytes(texts)
     at = 0
