@@ -40,8 +40,8 @@ class ChosenPaths:
     small: int = 64
     hashes: int = 64
     agree: int = 36
-    tile_docs: int = 1000
-    tile_shingles: int = 1 << 20
+    tile_docs: int = 500
+    tile_shingles: int = 1 << 19
     broadcast_bytes: int = 64 << 20
 
 

@@ -29,7 +29,11 @@ URL_RULES = [
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and
+    hand texts over in smaller batches than Spark's own, which are for short rows."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(batch)) == 10_000:
+        spark.conf.set(batch, "2000")
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(":")

@@ -55,7 +55,7 @@ class WordEncoder:
     """
 
     #: Words kept; beyond it new words are encoded each time they come up.
-    KEPT = 600_000
+    KEPT = 400_000
     SIMPLE = re.compile(r"([A-Za-z]+)([.,]?)\Z")
 
     def __init__(self, tokenizer) -> None:
