@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pitchlake.schema import HIT_TRAJECTORY, PITCH_TRAJECTORY, TRACE_STEPS
+from checks.session import name_shared_folder
 from pitchlake.session import scratch_path
 from pitchlake.sources import Sources, land_sources, read_parquet
 
@@ -267,6 +268,7 @@ def sources(spark: SparkSession, sf_dir: str) -> Sources:
     """The four tables, landed once per session in the cluster's shared folder.
     Read back from Parquet, so that filters and column choices meet a real scan
     and not the expressions the columns were made with."""
+    name_shared_folder(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
         folder = scratch_path(spark, "sources")

@@ -404,6 +404,7 @@ def statements() -> dict[str, str]:
         "scan_trace": statement("*", "pitch_trace"),
         "scan_players": statement("*", "player_info"),
         "sink_roundtrip": fact(),
+        "publish_one_league": fact(),
         # filters
         "filter_season": _pitches_where("left(gameid, 4) >= '2024'"),
         "filter_league": _pitches_where("level = 'KBO Minors'"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks.fixtures import sources as fixture_sources
 from pitchlake import leagues as lg, schema
 from pitchlake.functions import dates, flags, pitches, plays, strike_zone, units
-from pitchlake.operators import arm_slot, pitch_joins, players
+from pitchlake.operators import arm_slot, joins, pitch_joins, players
 from pitchlake.plans import extract as ex, fact
 from pitchlake.session import scratch_path
 from pitchlake.sources import Sources, read_fact
@@ -32,7 +32,12 @@ def _keyed(df: DataFrame, columns: dict) -> DataFrame:
 
 
 def _logged(s: Sources) -> DataFrame:
-    return pitch_joins.join_pitch_log(s.pitches, s.pitch_log)
+    return pitch_joins.join_pitch_log(s.pitches, s.pitch_log, *_hot(s.pitches, s.pitch_log, pitch_joins.LOG_KEY))
+
+
+def _hot(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple:
+    """Hot keys of both sides, as the engine's own path finds them."""
+    return joins.hot_keys(left, keys), joins.hot_keys(right, keys)
 
 
 def _played(s: Sources) -> DataFrame:
@@ -98,6 +103,15 @@ def _roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fact(spark, path)
 
 
+def _one_league_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish all leagues, one of them again, and read all."""
+    path = scratch_path(spark, "fact")
+    sources = fixture_sources(spark, sf_dir)
+    fact.publish(sources, path)
+    fact.publish(sources, path, (lg.KBSA,))
+    return read_fact(spark, path)
+
+
 def _fact(*leagues: lg.League) -> Query:
     return _over(lambda s: fact.pitch_fact(s, leagues))
 
@@ -137,6 +151,7 @@ def queries() -> dict[str, Query]:
         "scan_trace": _over(lambda s: s.trace),
         "scan_players": _over(lambda s: s.players),
         "sink_roundtrip": _roundtrip,
+        "publish_one_league": _one_league_again,
         # filters
         "filter_season": _filtered(lambda: lg.season_floor("2024")),
         "filter_league": _filtered(lambda: lg.league_level("KBO Minors")),

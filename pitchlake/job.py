@@ -1,12 +1,18 @@
-"""Publish the pitch fact: `spark-submit -m pitchlake.job --sources DIR --out DIR`."""
+"""Publish the pitch fact: `spark-submit pitchlake/job.py --sources DIR --out DIR
+--shared DIR`, or `python -m pitchlake.job` where the package is installed."""
 
 from __future__ import annotations
 
 import argparse
+import sys
+from pathlib import Path
+
+if not __package__:  # run as a file: the folder above holds the package
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pitchlake.leagues import LEAGUES
 from pitchlake.plans.fact import publish
-from pitchlake.session import build_session
+from pitchlake.session import build_session, shuffle_partitions, stored_bytes
 from pitchlake.sources import read_parquet
 
 
@@ -16,24 +22,18 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--sources", required=True, help="folder of the landed source tables")
     parser.add_argument("--out", required=True, help="folder of the published fact")
     parser.add_argument("--league", action="append", choices=sorted(by_code), help="default: all")
-    parser.add_argument(
-        "--keep-others",
-        action="store_true",
-        help="replace only the leagues and seasons this run produces",
-    )
-    parser.add_argument(
-        "--shuffle-partitions",
-        type=int,
-        help="upper bound, which adaptive execution lowers: pitch bytes over 256 MB is a good one",
-    )
+    parser.add_argument("--shared", help="folder that all executors reach: spark.checkpoint.dir")
     options = parser.parse_args(arguments)
     leagues = tuple(by_code[code] for code in options.league or by_code)
-    settings = {}
-    if options.shuffle_partitions:
-        settings["spark.sql.shuffle.partitions"] = str(options.shuffle_partitions)
+    settings = {"spark.checkpoint.dir": options.shared} if options.shared else {}
     spark = build_session(**settings)
-    sources = read_parquet(spark, options.sources)
-    publish(sources, options.out, leagues, replace_all=not options.keep_others)
+    wanted = str(shuffle_partitions(stored_bytes(spark, options.sources)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    try:
+        publish(read_parquet(spark, options.sources), options.out, leagues)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 if __name__ == "__main__":

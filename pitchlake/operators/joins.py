@@ -4,11 +4,13 @@ shuffle join when no key is hot, and an exact split of hot keys when one is."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from pitchlake.session import settle
+
 
 @dataclass(frozen=True)
 class JoinLimits:
@@ -16,28 +18,26 @@ class JoinLimits:
 
     broadcast_bytes: largest measured side that is broadcast.
     rows_per_split: rows of one key that one task may take.
-    tracked_keys: size of the frequent-key sketch. Every key with more than
-        about 1 / tracked_keys of the rows is found.
     """
 
     broadcast_bytes: int = 64 << 20
     rows_per_split: int = 2_000_000
-    tracked_keys: int = 10_000
 
 
 DEFAULT_LIMITS = JoinLimits()
-MAX_HOT_KEYS = 1_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys too large for one task, each with the number of parts to cut it into."""
+    """Keys too large for one task: a table of the key columns and `parts`, the
+    number of parts to cut each into. It is sent to all tasks if `small`."""
 
-    parts: dict[str, int] = field(default_factory=dict)
+    table: DataFrame | None = None
     null_parts: int = 1
+    small: bool = True
 
     def __bool__(self) -> bool:
-        return bool(self.parts) or self.null_parts > 1
+        return self.table is not None or self.null_parts > 1
 
 
 NO_HOT_KEYS = HotKeys()
@@ -53,63 +53,45 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
 
 
-def _key_text(keys: Sequence[str]) -> Column:
-    """Key as JSON text, NULL when any part is; read back with its types."""
-    present = F.lit(True)
+def _has_null(keys: Sequence[str]) -> Column:
+    missing = F.lit(False)
     for key in keys:
-        present = present & F.col(key).isNotNull()
-    return F.when(present, F.to_json(F.struct(*keys)))
+        missing = missing | F.col(key).isNull()
+    return missing
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], limits: JoinLimits = DEFAULT_LIMITS) -> HotKeys:
+    """Every key with more than rows_per_split rows. Rows are counted per key,
+    within each task first; only hot keys are kept, as a settled table. Rows
+    with a NULL in their key are counted together."""
+    whole = ~_has_null(keys)
+    narrow = df.select(*[F.when(whole, F.col(key)).alias(key) for key in keys])
+    counted = narrow.groupBy(*keys).agg(F.count("*").alias("n"))
+    parts = F.ceil(F.col("n") / limits.rows_per_split).cast("int").alias("parts")
+    found = settle(counted.where(F.col("n") > limits.rows_per_split).select(*keys, parts))
+    nulls = found.where(_has_null(keys)).first()  # one row at most
+    table = found.where(~_has_null(keys))
+    n_bytes = measured_bytes(table)
+    return HotKeys(
+        table if n_bytes else None,
+        nulls["parts"] if nulls else 1,
+        n_bytes <= max(limits.broadcast_bytes, 1 << 20),
+    )
 
 
 def find_hot_keys(
     sides: dict[str, tuple[DataFrame, Sequence[str]]], limits: JoinLimits = DEFAULT_LIMITS
 ) -> dict[str, HotKeys]:
-    """Hot keys of several join sides, in one job over their key columns.
-
-    Each task folds its rows into a sketch of fixed size before the shuffle, so
-    nothing here grows with the data. The sketch only steers the layout of the
-    join: a key it misses or overrates changes no result.
-    """
-    narrow = [
-        df.select(F.lit(name).alias("side"), _key_text(keys).alias("key"))
-        for name, (df, keys) in sides.items()
-    ]
-    keyed = narrow[0]
-    for more in narrow[1:]:
-        keyed = keyed.unionAll(more)
-    profile = (
-        keyed.groupBy("side")
-        .agg(
-            F.count_if(F.col("key").isNull()).alias("nulls"),
-            F.expr(
-                f"approx_top_k(key, {min(MAX_HOT_KEYS, limits.tracked_keys)},"
-                f" {limits.tracked_keys})"
-                " FILTER (WHERE key IS NOT NULL)"
-            ).alias("top"),
-        )
-        .collect()  # one row per side, at most MAX_HOT_KEYS keys each
-    )
-    found = dict.fromkeys(sides, NO_HOT_KEYS)
-    for row in profile:
-        parts = {
-            entry["item"]: ceil(entry["count"] / limits.rows_per_split)
-            for entry in row["top"] or []
-            if entry["item"] is not None and entry["count"] > limits.rows_per_split
-        }
-        found[row["side"]] = HotKeys(parts, max(1, ceil(row["nulls"] / limits.rows_per_split)))
-    return found
+    """Hot keys of several join sides."""
+    return {name: hot_keys(df, keys, limits) for name, (df, keys) in sides.items()}
 
 
 def _with_parts(df: DataFrame, keys: Sequence[str], hot: HotKeys, column: str) -> DataFrame:
     """Look up the part count of each row's key; NULL for keys that are not hot."""
-    key_types = T.StructType([df.schema[key] for key in keys])
-    spark = df.sparkSession
-    listed = spark.createDataFrame(list(hot.parts.items()), "key_text string, parts int")
-    table = listed.select(F.from_json("key_text", key_types).alias("k"), "parts").select(
-        *[F.col(f"k.{key}").alias(key) for key in keys], F.col("parts").alias(column)
-    )
-    # At most MAX_HOT_KEYS rows, by the way the list is made.
-    return df.join(F.broadcast(table), list(keys), "left")
+    if hot.table is None:
+        return df.withColumn(column, F.lit(None).cast("int"))
+    table = hot.table.withColumnRenamed("parts", column)
+    return df.join(F.broadcast(table) if hot.small else table, list(keys), "left")
 
 
 def split_left_join(
@@ -118,7 +100,6 @@ def split_left_join(
     on: Sequence[str],
     hot_left: HotKeys = NO_HOT_KEYS,
     hot_right: HotKeys = NO_HOT_KEYS,
-    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Left join with hot keys of either side cut into parts.
 
@@ -126,19 +107,17 @@ def split_left_join(
     key are copied to each; a hot key of the right the other way round. Left
     rows with a NULL key match nothing and are merely spread. A copied left row
     that meets an empty part is dropped again: its key is on the right, so it
-    has its matches in another part. Rows are spread by their content, which a
-    lost task computes again to the same part; identical copies stay together
+    has its matches in another part. Rows are spread by all their columns, which
+    a lost task computes again to the same part; identical copies stay together
     and are left to the adaptive skew join.
     """
     if not hot_left and not hot_right:
         return left.join(right, list(on), "left")
 
     columns = [*left.columns, *[c for c in right.columns if c not in on]]
-    left_hash = F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or left.columns)])
+    left_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     right_hash = F.xxhash64(*[F.col(f"`{c}`") for c in right.columns])
-    null_key = F.lit(False)
-    for key in on:
-        null_key = null_key | F.col(key).isNull()
+    null_key = _has_null(on)
 
     def part_of(hash_: Column, parts: Column) -> Column:
         return F.pmod(hash_, parts.cast("long")).cast("int")
@@ -178,11 +157,10 @@ def lookup(
     on: Sequence[str],
     side_bytes: int,
     limits: JoinLimits = DEFAULT_LIMITS,
-    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Left join with a side that is usually small: broadcast up to the limit,
     beyond it a shuffle join with hot keys split."""
     if side_bytes <= limits.broadcast_bytes:
         return left.join(F.broadcast(side), list(on), "left")
     hot = find_hot_keys({"left": (left, on), "right": (side, on)}, limits)
-    return split_left_join(left, side, on, hot["left"], hot["right"], spread_by)
+    return split_left_join(left, side, on, hot["left"], hot["right"])

@@ -15,8 +15,6 @@ from pitchlake.operators.joins import (
 
 LOG_KEY = ["game_seq", "pit_seq"]
 TRACE_KEY = ["game_seq", "pitchno"]
-# Identify a pitch well enough to spread the rows of one hot key.
-SPREAD_BY = ["pitchuid", "game_seq", "pit_seq", "pitchno"]
 
 
 def _trace_by_pitchno(trace: DataFrame) -> DataFrame:
@@ -29,7 +27,7 @@ def join_pitch_log(
     hot_left: HotKeys = NO_HOT_KEYS,
     hot_right: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
-    return split_left_join(pitches, log, LOG_KEY, hot_left, hot_right, SPREAD_BY)
+    return split_left_join(pitches, log, LOG_KEY, hot_left, hot_right)
 
 
 def join_trace(
@@ -39,7 +37,7 @@ def join_trace(
     hot_right: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
     side = _trace_by_pitchno(trace)
-    return split_left_join(pitches, side, TRACE_KEY, hot_left, hot_right, SPREAD_BY)
+    return split_left_join(pitches, side, TRACE_KEY, hot_left, hot_right)
 
 
 def join_pitch_tables(

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from pitchlake.functions.strike_zone import clean_height
 from pitchlake.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup, measured_bytes
-from pitchlake.operators.pitch_joins import SPREAD_BY
 
 
 @dataclass(frozen=True)
@@ -46,5 +45,5 @@ def add_players(
             *(["Height"] if role.with_height else []),
         )
         on = ["game_year", role.id_column]
-        pitches = lookup(pitches, side, on, size, limits, SPREAD_BY)
+        pitches = lookup(pitches, side, on, size, limits)
     return pitches

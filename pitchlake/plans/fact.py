@@ -117,6 +117,6 @@ def publish(
     path: str,
     leagues: tuple[League, ...] = LEAGUES,
     limits: JoinLimits = DEFAULT_LIMITS,
-    replace_all: bool = True,
 ) -> None:
-    write_fact(pitch_rows(sources, leagues, limits), path, replace_all)
+    """Publish leagues in place of what is published of them; others stay."""
+    write_fact(pitch_rows(sources, leagues, limits), path, [league.level for league in leagues])

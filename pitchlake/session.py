@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,30 +24,32 @@ def build_session(app_name: str = "pitchlake", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """Folder all executors can reach: the cluster's, else, in local mode only, a
-    temporary one that is then kept for the session."""
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that all executors can reach, named by spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="pitchlake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    folder = shared_folder(spark)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a small result once and cut its lineage in reliable storage. On a
-    cluster that names no shared folder the plan stays lazy."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not folder:
-        return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    """Compute a small result once and cut its lineage in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def shuffle_partitions(input_bytes: int, partition_bytes: int = 256 << 20) -> int:
+    """Shuffle partitions for an input of so many bytes on disk; adaptive
+    execution lowers the number where the data turn out smaller."""
+    return max(200, -(-input_bytes // partition_bytes))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pitchlake.schema import OUTPUT_COLUMNS
@@ -15,22 +18,28 @@ def published(rows: DataFrame) -> DataFrame:
     return rows.select(*[f"`{name}`" for name in OUTPUT_COLUMNS])
 
 
-def write_fact(rows: DataFrame, path: str, replace_all: bool = True) -> None:
-    """Write derived rows (see `plans.fact.pitch_rows`) in game and pitch order.
+def write_fact(rows: DataFrame, path: str, levels: Sequence[str]) -> None:
+    """Write derived rows (see `plans.fact.pitch_rows`) of the given levels, in
+    game and pitch order, in place of what is there of these levels.
 
     Rows are rebalanced by league and season: adaptive execution cuts a large
     season into many even files and puts small ones together, so a season never
-    lands in one task. The order holds within each file. With `replace_all` off,
-    only the leagues and seasons among the rows are replaced.
+    lands in one task. The order holds within each file. The rows are first
+    written beside the published ones, whole; then the folders of the levels are
+    exchanged, so that seasons that vanished go and other levels stay untouched.
     """
     ordered = rows.hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, *PITCH_ORDER)
-    (
-        published(ordered)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
+    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    published(ordered).write.partitionBy(*PARTITIONS).parquet(staging)
+    spark = rows.sparkSession
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = as_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for level in levels:
+        old, new = as_path(f"{path.rstrip('/')}/level={level}"), as_path(f"{staging}/level={level}")
+        files.delete(old, True)
+        if files.exists(new) and not files.rename(new, old):
+            raise OSError(f"{new} could not be moved to {old}")
+    files.delete(as_path(staging), True)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -51,4 +60,7 @@ def land_sources(sources: Sources, folder: str, names: TableNames = TableNames()
         (names.trace, sources.trace),
         (names.players, sources.players),
     ):
-        table.hint("rebalance").write.parquet(f"{root}/{name}")
+        spread = table.hint("rebalance")
+        if "game_seq" in table.columns:  # in game order, for jobs that want some games
+            spread = table.hint("rebalance").sortWithinPartitions("game_seq")
+        spread.write.parquet(f"{root}/{name}")

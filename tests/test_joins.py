@@ -15,7 +15,7 @@ from pitchlake.operators.joins import (
 )
 from pitchlake.plans.fact import pitch_fact
 
-TINY = JoinLimits(broadcast_bytes=0, rows_per_split=20, tracked_keys=100)
+TINY = JoinLimits(broadcast_bytes=0, rows_per_split=20)
 
 
 def rows(df):
@@ -44,9 +44,9 @@ def right(spark):
 def test_hot_keys_are_found_and_only_those(left, right):
     on = ["k", "t"]
     hot = find_hot_keys({"l": (left, on), "r": (right, on)}, TINY)
-    assert hot["l"].parts == {'{"k":1,"t":"a"}': 15, '{"k":2,"t":"b"}': 5}
+    assert rows(hot["l"].table) == Counter({(1, "a", 15): 1, (2, "b", 5): 1})
     assert hot["l"].null_parts == 5
-    assert hot["r"].parts == {'{"k":3,"t":"c"}': 10, '{"k":4,"t":"e"}': 5}
+    assert rows(hot["r"].table) == Counter({(3, "c", 10): 1, (4, "e", 5): 1})
     assert not find_hot_keys({"l": (left, on)})["l"]
 
 
@@ -59,12 +59,43 @@ def test_split_join_equals_plain_join(left, right):
     assert rows(split) == rows(plain)
 
 
-def test_key_hot_on_both_sides(left, right):
-    both = HotKeys({'{"k":1,"t":"a"}': 4, '{"k":3,"t":"c"}': 3})
+@pytest.mark.parametrize("small", [True, False])
+def test_key_hot_on_both_sides(spark, left, right, small):
+    table = spark.createDataFrame([(1, "a", 4), (3, "c", 3)], "k int, t string, parts int")
+    both = HotKeys(table, small=small)
     split = split_left_join(left, right, ["k", "t"], both, both)
     assert rows(split) == rows(left.join(right, ["k", "t"], "left"))
 
 
+@pytest.mark.parametrize("n", [5_000, 50_000])
+def test_every_hot_key_is_found_however_many(spark, n):
+    """Twice the limit in each of n keys, and one row in each of as many more."""
+    keys = spark.range(2 * n).select((F.col("id") % n).alias("k"))
+    found = find_hot_keys({"l": (keys.unionAll(spark.range(n, 2 * n).toDF("k")), ["k"])}, JoinLimits(rows_per_split=1))["l"]
+    assert found.table.count() == n and found.table.where("parts != 2 or k >= %d" % n).count() == 0
+    plan = keys.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan
+
+
+def test_rows_of_one_key_without_an_id_are_spread(spark, sources):
+    """1,000 pitches of one log key, no pitchuid, equal numbers: several tasks."""
+    from pitchlake.operators.pitch_joins import LOG_KEY, join_pitch_log
+
+    one = sources.pitches.limit(1).drop("pitchuid", "relspeed")
+    many = one.crossJoin(spark.range(1000).select(F.col("id").cast("double").alias("relspeed")))
+    many = many.withColumn("pitchuid", F.lit(None).cast("string"))
+    hot = find_hot_keys({"l": (many, LOG_KEY)}, JoinLimits(rows_per_split=50))["l"]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_pitch_log(many, sources.pitch_log, hot)
+        assert joined.select(F.spark_partition_id()).distinct().count() > 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_hot_key_reaches_several_tasks(spark, left, right):
     on = ["k", "t"]
     hot = find_hot_keys({"l": (left, on)}, TINY)
@@ -97,6 +128,6 @@ def test_lookup_beyond_the_broadcast_limit(left, right):
 
 def test_fact_is_the_same_under_tiny_limits(sources):
     columns = ["pitchuid", "zone", "NAME_batter", "NAME_catcher", "p_throws", "p_type", "x50"]
-    limits = JoinLimits(broadcast_bytes=0, rows_per_split=30, tracked_keys=1000)
+    limits = JoinLimits(broadcast_bytes=0, rows_per_split=30)
     tiny = pitch_fact(sources, limits=limits).select(columns)
     assert rows(tiny) == rows(pitch_fact(sources).select(columns))

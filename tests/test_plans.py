@@ -1,5 +1,9 @@
 """Plans, layouts and contracts."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import re
 
 import pytest
@@ -8,7 +12,7 @@ from pitchlake import leagues as lg, schema
 from pitchlake.job import main
 from pitchlake.plans import fact
 from pitchlake.sources import JdbcSource, Sources, land_sources, read_fact, read_jdbc
-from pitchlake.session import scratch_path
+from pitchlake.session import scratch_path, shuffle_partitions
 
 
 @pytest.fixture(scope="module")
@@ -64,11 +68,33 @@ def test_one_league_can_be_replaced_alone(spark, sources):
     path = scratch_path(spark, "fact")
     fact.publish(sources, path, (lg.AAA, lg.NPB))
     before = {r["level"]: r["count"] for r in read_fact(spark, path).groupBy("level").count().collect()}
-    fact.publish(sources, path, (lg.AAA,), replace_all=False)
+    stale = spark.read.parquet(path).where("level = 'AAA'").limit(3).drop("level", "game_year")
+    stale.write.parquet(f"{path}/level=AAA/game_year=1999")
+    fact.publish(sources, path, (lg.AAA,))
     after = {r["level"]: r["count"] for r in read_fact(spark, path).groupBy("level").count().collect()}
     assert before == after and set(after) == {"AAA", "NPB"}
-    fact.publish(sources, path, (lg.AAA,))
-    assert {r["level"] for r in read_fact(spark, path).select("level").distinct().collect()} == {"AAA"}
+    assert read_fact(spark, path).where("game_year = 1999").count() == 0
+
+
+def test_published_files_are_in_order(spark, sources):
+    path = scratch_path(spark, "fact")
+    fact.publish(sources, path, (lg.KBO,))
+    order = ["gameid", "pitchno"]
+    if not set(order) <= set(schema.OUTPUT_COLUMNS):
+        order = [c for c in order if c in schema.OUTPUT_COLUMNS] or ["game_date"]
+    for file in spark.read.parquet(path).inputFiles():
+        values = [tuple(r) for r in spark.read.parquet(file).coalesce(1).select(*order[:1]).collect()]
+        assert values == sorted(values)
+
+
+def test_shuffle_partitions_follow_the_input():
+    assert [shuffle_partitions(n) for n in (0, 10**9, 100 * 10**12)] == [200, 200, 372530]
+
+
+def test_job_starts_from_another_folder(tmp_path):
+    script = Path(__file__).resolve().parents[1] / "pitchlake" / "job.py"
+    run = subprocess.run([sys.executable, str(script), "--help"], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert run.returncode == 0 and "--sources" in run.stdout
 
 
 def test_job_publishes_from_landed_tables(spark, sources):
