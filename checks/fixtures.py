@@ -96,10 +96,12 @@ def _coefficients(names: list[str], wrap) -> dict[str, str]:
     return {name.lower(): one(name) for name in names}
 
 
+# Not the number in the log, so that a join on the wrong one shows.
+PITCH_NO = "cast(l_linenumber + l_orderkey%4 as int)"
 PITCH = {
     "game_seq": "l_orderkey",
     "pit_seq": "l_linenumber",
-    "pitchno": "l_linenumber",
+    "pitchno": PITCH_NO,
     "gameid": "cast(season as string)||mm||dd||'-'||"
     + _pick("l_orderkey%3", ["Suwon", "Jamsil"], "Gwangju")
     + "||'-'||cast(1+l_orderkey%2 as string)",
@@ -185,7 +187,7 @@ _X0 = "(l_orderkey%200-100)/100e0"
 _Z0 = "(l_orderkey%100+100)/100e0"
 TRACE = {
     "game_seq": "l_orderkey",
-    "pitch_no": "l_linenumber",
+    "pitch_no": PITCH_NO,
     "x0": _X0,
     "z0": _Z0,
     **{f"x{t}": f"{_X0} - {t}*l_linenumber/1000e0" for t in TRACE_STEPS if t},

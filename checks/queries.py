@@ -35,6 +35,11 @@ def _logged(s: Sources) -> DataFrame:
     return pitch_joins.join_pitch_log(s.pitches, s.pitch_log, *_hot(s.pitches, s.pitch_log, pitch_joins.LOG_KEY))
 
 
+def _traced(pitches_: DataFrame, trace: DataFrame) -> DataFrame:
+    hot = _hot(pitches_, pitch_joins.trace_by_pitchno(trace), pitch_joins.TRACE_KEY)
+    return pitch_joins.join_trace(pitches_, trace, *hot)
+
+
 def _hot(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple:
     """Hot keys of both sides, as the engine's own path finds them."""
     return joins.hot_keys(left, keys), joins.hot_keys(right, keys)
@@ -170,9 +175,7 @@ def queries() -> dict[str, Query]:
             lambda s: _logged(s).select(*[c for c in schema.PITCH_LOG_COLUMNS])
         ),
         "join_trace": _over(
-            lambda s: pitch_joins.join_trace(
-                s.pitches.select("game_seq", "pitchno"), s.trace
-            )
+            lambda s: _traced(s.pitches.select("game_seq", "pitchno"), s.trace)
         ),
         "join_batter": _role(players.BATTER),
         "join_pitcher": _role(players.PITCHER),
@@ -252,7 +255,7 @@ def queries() -> dict[str, Query]:
             )
         ),
         "trace_passthrough": _over(
-            lambda s: pitch_joins.join_trace(
+            lambda s: _traced(
                 s.pitches.select(*KEY, "pitchno"), ex.pack_trace(s.trace)
             ).select(*KEY, "path.*")
         ),

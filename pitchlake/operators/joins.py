@@ -60,23 +60,53 @@ def _has_null(keys: Sequence[str]) -> Column:
     return missing
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limits: JoinLimits = DEFAULT_LIMITS) -> HotKeys:
-    """Every key with more than rows_per_split rows. Rows are counted per key,
-    within each task first; only hot keys are kept, as a settled table. Rows
-    with a NULL in their key are counted together."""
-    whole = ~_has_null(keys)
-    narrow = df.select(*[F.when(whole, F.col(key)).alias(key) for key in keys])
-    counted = narrow.groupBy(*keys).agg(F.count("*").alias("n"))
-    parts = F.ceil(F.col("n") / limits.rows_per_split).cast("int").alias("parts")
-    found = settle(counted.where(F.col("n") > limits.rows_per_split).select(*keys, parts))
-    nulls = found.where(_has_null(keys)).first()  # one row at most
-    table = found.where(~_has_null(keys))
-    n_bytes = measured_bytes(table)
-    return HotKeys(
-        table if n_bytes else None,
-        nulls["parts"] if nulls else 1,
-        n_bytes <= max(limits.broadcast_bytes, 1 << 20),
+def hot_keys_by(
+    df: DataFrame, key_sets: dict[str, Sequence[str]], limits: JoinLimits = DEFAULT_LIMITS
+) -> dict[str, HotKeys]:
+    """Every key with more than rows_per_split rows, for several joins of one
+    table, in one pass over it. Rows are counted per key, within each task first;
+    only hot keys are kept, as a settled table. Rows with a NULL in their key are
+    counted together."""
+    named = {name: [f"{name}.{key}" for key in keys] for name, keys in key_sets.items()}
+    flat = [column for columns in named.values() for column in columns]
+    narrow = df.select(
+        *[
+            F.when(~_has_null(keys), F.col(key)).alias(column)
+            for name, keys in key_sets.items()
+            for key, column in zip(keys, named[name], strict=True)
+        ]
     )
+    sets = [[F.col(f"`{column}`") for column in columns] for columns in named.values()]
+    counted = narrow.groupingSets(sets, *[F.col(f"`{column}`") for column in flat]).agg(
+        F.grouping_id().alias("set"), F.count("*").alias("n")
+    )
+    parts = F.ceil(F.col("n") / limits.rows_per_split).cast("int").alias("parts")
+    hot = counted.where(F.col("n") > limits.rows_per_split)
+    found = settle(hot.select(*[f"`{column}`" for column in flat], "set", parts))
+    if found.isEmpty():
+        return dict.fromkeys(key_sets, NO_HOT_KEYS)
+
+    def of_set(name: str, keys: Sequence[str]) -> HotKeys:
+        # The bits of a grouping id stand for the columns that are not in the set.
+        bits = ["0" if column in named[name] else "1" for column in flat]
+        own = found.where(F.col("set") == int("".join(bits), 2)).select(
+            *[F.col(f"`{column}`").alias(key) for column, key in zip(named[name], keys, strict=True)], "parts"
+        )
+        nulls = own.where(_has_null(keys)).first()  # one row at most
+        table = own.where(~_has_null(keys))
+        n_bytes = measured_bytes(table)
+        return HotKeys(
+            table if n_bytes else None,
+            nulls["parts"] if nulls else 1,
+            n_bytes <= max(limits.broadcast_bytes, 1 << 20),
+        )
+
+    return {name: of_set(name, keys) for name, keys in key_sets.items()}
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], limits: JoinLimits = DEFAULT_LIMITS) -> HotKeys:
+    """Hot keys of one side of one join."""
+    return hot_keys_by(df, {"key": keys}, limits)["key"]
 
 
 def find_hot_keys(
@@ -157,10 +187,16 @@ def lookup(
     on: Sequence[str],
     side_bytes: int,
     limits: JoinLimits = DEFAULT_LIMITS,
+    hot_left: HotKeys | None = None,
+    hot_right: HotKeys | None = None,
 ) -> DataFrame:
     """Left join with a side that is usually small: broadcast up to the limit,
-    beyond it a shuffle join with hot keys split."""
+    beyond it a shuffle join with hot keys split. Hot keys that are not given
+    are looked for, which computes that side once more."""
     if side_bytes <= limits.broadcast_bytes:
         return left.join(F.broadcast(side), list(on), "left")
-    hot = find_hot_keys({"left": (left, on), "right": (side, on)}, limits)
-    return split_left_join(left, side, on, hot["left"], hot["right"])
+    if hot_left is None:
+        hot_left = hot_keys(left, on, limits)
+    if hot_right is None:
+        hot_right = hot_keys(side, on, limits)
+    return split_left_join(left, side, on, hot_left, hot_right)

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pitchlake import schema
 from pitchlake.functions import contact, dates, pitches, plays, units
 from pitchlake.leagues import LEAGUES, League, leagues_extract
-from pitchlake.operators.joins import DEFAULT_LIMITS, JoinLimits
+from pitchlake.operators.joins import DEFAULT_LIMITS, HotKeys, JoinLimits, measured_bytes
 from pitchlake.operators.pitch_joins import join_pitch_tables
+from pitchlake.session import settle
 from pitchlake.sources import Sources
 
 
@@ -136,15 +137,32 @@ def stage(joined: DataFrame, date_type: T.DataType) -> DataFrame:
     return named.select(*KEPT, *[column.alias(name) for name, column in columns.items()])
 
 
+def wanted_pitches(sources: Sources, leagues: tuple[League, ...] = LEAGUES) -> DataFrame:
+    return sources.pitches.where(leagues_extract(leagues))
+
+
+def of_games(pitches_: DataFrame, sides: list[DataFrame], limits: JoinLimits) -> list[DataFrame]:
+    """Rows of the sides that belong to a game of the pitches. The games are
+    settled, and broadcast where their measured size allows it."""
+    games = settle(pitches_.select("game_seq").where("game_seq is not null").distinct())
+    if measured_bytes(games) <= limits.broadcast_bytes:
+        games = F.broadcast(games)
+    return [side.join(games, "game_seq", "left_semi") for side in sides]
+
+
 def extract(
     sources: Sources,
     leagues: tuple[League, ...] = LEAGUES,
     limits: JoinLimits = DEFAULT_LIMITS,
+    hot: dict[str, HotKeys] | None = None,
 ) -> DataFrame:
     """Staged pitches of the leagues. The filter sits on the pitch table, below
-    both joins, so it reaches the scan."""
-    wanted = sources.pitches.where(leagues_extract(leagues))
-    joined = join_pitch_tables(
-        pack_pitches(wanted), sources.pitch_log, pack_trace(sources.trace), limits
-    )
+    both joins, so it reaches the scan. A run of some leagues also cuts log and
+    trace down to their games before they are shuffled; a run of all leagues
+    wants nearly every game and leaves them."""
+    wanted = wanted_pitches(sources, leagues)
+    log, trace = sources.pitch_log, sources.trace
+    if len(leagues) < len(LEAGUES):
+        log, trace = of_games(wanted, [log, trace], limits)
+    joined = join_pitch_tables(pack_pitches(wanted), log, pack_trace(trace), limits, hot)
     return stage(joined, sources.pitches.schema["date"].dataType)

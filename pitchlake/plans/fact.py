@@ -6,10 +6,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pitchlake.functions import flags, pitches, plays, strike_zone, units
 from pitchlake.leagues import LEAGUES, League
-from pitchlake.operators.arm_slot import add_arm_slot
-from pitchlake.operators.joins import DEFAULT_LIMITS, JoinLimits
-from pitchlake.operators.players import add_players
-from pitchlake.plans.extract import extract, unpack
+from pitchlake.operators.arm_slot import ARM_KEY, add_arm_slot
+from pitchlake.operators.joins import (
+    DEFAULT_LIMITS,
+    HotKeys,
+    JoinLimits,
+    hot_keys_by,
+    measured_bytes,
+)
+from pitchlake.operators.pitch_joins import PITCH_KEYS
+from pitchlake.operators.players import ROLES, add_players, player_dimension
+from pitchlake.plans.extract import extract, unpack, wanted_pitches
 from pitchlake.sources import Sources
 from pitchlake.sources.sinks import published, write_fact
 
@@ -89,6 +96,26 @@ def classified_only(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("p_kind") != pitches.UNCLASSIFIED)
 
 
+def pitch_hot_keys(
+    wanted: DataFrame, player_bytes: int, limits: JoinLimits = DEFAULT_LIMITS
+) -> dict[str, HotKeys]:
+    """Hot keys of the pitches for all joins of the fact, counted once, before
+    any join. Lookups that are broadcast need none. Fan-out of earlier lookups
+    is not counted; it changes the layout by that factor and no result."""
+    keyed = wanted.select(
+        "game_seq",
+        "pit_seq",
+        "pitchno",
+        *[role.id_column for role in ROLES],
+        pitches.season(F.col("gameid")).alias("game_year"),
+        F.lower("level").alias("league"),
+        numeric_id(F.col("pitcherid")).alias("pitcher"),
+    )
+    looked_up = {role.id_column: role.key for role in ROLES} | {"arm": ARM_KEY}
+    shuffled = looked_up if player_bytes > limits.broadcast_bytes else {}
+    return hot_keys_by(keyed, PITCH_KEYS | shuffled, limits)
+
+
 def pitch_rows(
     sources: Sources,
     leagues: tuple[League, ...] = LEAGUES,
@@ -97,8 +124,11 @@ def pitch_rows(
     """Derived rows: the published columns plus the game id and pitch number that
     order them. Arm slots are taken before unclassified pitches are dropped, as
     those pitches count in a pitcher's mean."""
-    named = add_players(extract(sources, leagues, limits), sources.players, limits=limits)
-    slotted = add_arm_slot(with_numeric_ids(named), limits)
+    size = measured_bytes(player_dimension(sources.players))
+    hot = pitch_hot_keys(wanted_pitches(sources, leagues), size, limits)
+    extracted = extract(sources, leagues, limits, hot)
+    named = add_players(extracted, sources.players, limits=limits, size=size, hot=hot)
+    slotted = add_arm_slot(with_numeric_ids(named), limits, hot.get("arm"))
     measured = slotted.withColumns(units.metric_columns())
     return unpack(classified_only(with_flags(with_zones(measured))))
 
@@ -108,7 +138,8 @@ def pitch_fact(
     leagues: tuple[League, ...] = LEAGUES,
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """The published fact, 198 columns."""
+    """The published fact, 198 columns. Building the plan runs its preparatory
+    jobs: sizes, hot keys, games of a part of the leagues, arm table."""
     return published(pitch_rows(sources, leagues, limits))
 
 

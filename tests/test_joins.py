@@ -131,3 +131,40 @@ def test_fact_is_the_same_under_tiny_limits(sources):
     limits = JoinLimits(broadcast_bytes=0, rows_per_split=30)
     tiny = pitch_fact(sources, limits=limits).select(columns)
     assert rows(tiny) == rows(pitch_fact(sources).select(columns))
+
+
+def test_repeated_log_and_trace_rows_fan_out(sources):
+    """Keys that occur twice in log or trace, and joins on their own numbers."""
+    from pitchlake.operators.pitch_joins import join_pitch_tables
+
+    keys = sources.pitches.select("game_seq", "pit_seq", "pitchno")
+    log = sources.pitch_log.select("game_seq", "pit_seq", "field_if")
+    trace = sources.trace.select("game_seq", "pitch_no", "x5")
+    log = log.unionAll(log.where("pit_seq = 2").withColumn("field_if", F.lit("again")))
+    trace = trace.unionAll(trace.where("pitch_no % 3 = 0"))
+    logged = Counter(tuple(r)[:2] for r in log.collect())
+    traced = Counter(tuple(r)[:2] for r in trace.collect())
+    want = Counter()
+    for game, at, number in keys.collect():
+        want[game, at, number] += max(1, logged[game, at]) * max(1, traced[game, number])
+    for limits in (JoinLimits(), JoinLimits(rows_per_split=1)):
+        joined = join_pitch_tables(keys, log, trace, limits)
+        assert rows(joined.select("game_seq", "pit_seq", "pitchno")) == want
+
+
+def test_pitch_keys_are_counted_once(monkeypatch, sources):
+    """Lookups too large for a broadcast: one pass over each table, whatever the
+    number of joins."""
+    from pitchlake.operators import joins
+
+    passes = []
+
+    def counted(df):
+        passes.append(df.columns)
+        return settle(df)
+
+    settle = joins.settle
+    monkeypatch.setattr(joins, "settle", counted)
+    pitch_fact(sources, limits=TINY)
+    assert len(passes) == 4  # pitches, log, trace, players
+    assert sorted(map(len, passes)) == [4, 4, 4, 14]

@@ -10,6 +10,7 @@ import pytest
 
 from pitchlake import leagues as lg, schema
 from pitchlake.job import main
+from pitchlake.land import land
 from pitchlake.plans import fact
 from pitchlake.sources import JdbcSource, Sources, land_sources, read_fact, read_jdbc
 from pitchlake.session import scratch_path, shuffle_partitions
@@ -32,6 +33,22 @@ def test_filters_and_partitions_reach_the_scan(kbo_plan):
     assert re.search(r"PartitionFilters: .*koreabaseballorganization", kbo_plan)
 
 
+def test_log_and_trace_are_cut_to_the_games_below_their_shuffle(spark, sources):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = fact.pitch_fact(sources, (lg.KBO,)).select("gameuid", "runner", "x5")
+        lines = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set(name, before)
+    cuts = [i for i, line in enumerate(lines) if "LeftSemi" in line]
+    assert len(cuts) == 2
+    for cut in cuts:
+        above = next(line for line in reversed(lines[:cut]) if re.search("Exchange|Scan|LeftOuter", line))
+        assert "Exchange hashpartitioning(game_seq" in above
+
+
 def test_players_and_arms_are_broadcast(kbo_plan):
     assert kbo_plan.count("BroadcastHashJoin LeftOuter BuildRight") >= 4
 
@@ -91,10 +108,11 @@ def test_shuffle_partitions_follow_the_input():
     assert [shuffle_partitions(n) for n in (0, 10**9, 100 * 10**12)] == [200, 200, 372530]
 
 
-def test_job_starts_from_another_folder(tmp_path):
-    script = Path(__file__).resolve().parents[1] / "pitchlake" / "job.py"
+@pytest.mark.parametrize("name, option", [("job.py", "--sources"), ("land.py", "--properties")])
+def test_jobs_start_from_another_folder(tmp_path, name, option):
+    script = Path(__file__).resolve().parents[1] / "pitchlake" / name
     run = subprocess.run([sys.executable, str(script), "--help"], cwd=tmp_path, capture_output=True, text=True, timeout=60)
-    assert run.returncode == 0 and "--sources" in run.stdout
+    assert run.returncode == 0 and option in run.stdout
 
 
 def test_job_publishes_from_landed_tables(spark, sources):
@@ -140,8 +158,8 @@ class RecordingReader:
         return self.tables[table]
 
 
-def test_jdbc_reads_pitch_tables_in_ranges(sources):
-    reader = RecordingReader(
+def recording_reader(sources):
+    return RecordingReader(
         {
             "pitches": sources.pitches,
             "pitch_log": sources.pitch_log,
@@ -149,6 +167,17 @@ def test_jdbc_reads_pitch_tables_in_ranges(sources):
             "player_info": sources.players,
         }
     )
+
+
+def test_fact_from_tables_landed_over_jdbc(spark, sources):
+    landed, out = scratch_path(spark, "landed"), scratch_path(spark, "out")
+    land(recording_reader(sources), JdbcSource("jdbc:mysql://host/db", {}), (1, 1000), landed)
+    main(["--sources", landed, "--out", out, "--league", "AAA"])
+    assert read_fact(spark, out).count() == fact.pitch_fact(sources, (lg.AAA,)).count() > 0
+
+
+def test_jdbc_reads_pitch_tables_in_ranges(sources):
+    reader = recording_reader(sources)
     source = JdbcSource("jdbc:mysql://host/db", {"user": "reader"}, partitions=16)
     read = read_jdbc(reader, source, (1, 1000))
     assert read.pitches.columns == [*schema.PITCH_COLUMNS, "date"]
