@@ -211,8 +211,9 @@ def learn_quality(
     """Fit the model on labelled documents that are not held out.
 
     Labels other than 0 and 1 and labels or documents without an id are left
-    out; of several labels of one id the least counts. Without any label the
-    model scores every document alike.
+    out; of several labels of one id the least counts, and of several rows of one
+    document id the one whose features come first. Without any label the model
+    scores every document alike.
     """
     given = (
         labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1) & ~held_out(doc_id))
@@ -221,11 +222,13 @@ def learn_quality(
         .orderBy(F.xxhash64("id"), "id")
         .limit(learning.most_rows)
     )
-    # At most most_rows short rows, by the limit; and as many bounded rows come back.
+    # At most most_rows short rows, by the limit.
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(given), "id")
     kind = docs.schema[doc_id].dataType.simpleString()
-    found = rows.mapInArrow(_features(learning), f"id {kind}, quality double, x binary").collect()
-    found.sort(key=lambda r: (r["id"], bytes(r["x"])))
+    described = rows.mapInArrow(_features(learning), f"id {kind}, quality double, x binary")
+    # One bounded row per labelled id comes back, however often an id is repeated.
+    found = described.groupBy("id").agg(F.min("quality").alias("quality"), F.min("x").alias("x")).collect()
+    found.sort(key=lambda r: r["id"])
     if not found:
         return Attention(learning)
     x = [np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES) for r in found]

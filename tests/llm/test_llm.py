@@ -357,6 +357,12 @@ def test_quality_of_odd_rows(spark, odd):
     assert score_quality(odd.limit(0), model, ["doc_id"]).count() == 0
 
 
+def test_quality_learns_each_id_once(spark, odd):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    once, often = learn_quality(odd, labels), learn_quality(odd.unionAll(odd).unionAll(odd), labels)
+    assert all(np.array_equal(once.weights[k], often.weights[k]) for k in once.weights)
+
+
 # ---- urls -------------------------------------------------------------------
 
 
