@@ -178,13 +178,13 @@ PITCH_LOG = {
     "before_b1_bat_turn_no": "cast(l_orderkey%3 as int)",
     "before_b2_bat_turn_no": "cast(l_orderkey%4 as int)",
     "before_b3_bat_turn_no": "case when l_orderkey%101=0 then null else l_linenumber%2 end",
-    "home_score_cn": "cast(l_orderkey%11 as int)",
+    "home_score_cn": "cast(l_orderkey%11 + rep-1 as int)",
     "away_score_cn": "cast(l_orderkey%9 as int)",
     "field_if": "case when l_orderkey%6=0 then 'Shift' else 'Standard' end",
 }
 
-_X0 = "(l_orderkey%200-100)/100e0"
-_Z0 = "(l_orderkey%100+100)/100e0"
+_X0 = "(l_orderkey%200-100 + rep-1)/100e0"
+_Z0 = "(l_orderkey%100+100 + rep-1)/100e0"
 TRACE = {
     "game_seq": "l_orderkey",
     "pitch_no": PITCH_NO,
@@ -204,6 +204,9 @@ PLAYER = {
 
 LOGGED = "l_linenumber <= 6"
 TRACED = "l_linenumber <= 5"
+# Keys that the log and the trace hold twice, so that a lost fan-out shows.
+LOGGED_TWICE = "l_orderkey % 89 = 5"
+TRACED_TWICE = "l_orderkey % 97 = 11"
 
 
 def _items(columns: dict[str, str]) -> list[str]:
@@ -232,17 +235,19 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.selectExpr(*_items(PITCH))
 
 
-def _pairs(spark: SparkSession, sf_dir: str, where: str) -> DataFrame:
+def _pairs(spark: SparkSession, sf_dir: str, where: str, twice: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem").where(where)
-    return lines.select("l_orderkey", "l_linenumber").distinct()
+    pairs = lines.select("l_orderkey", "l_linenumber").distinct()
+    copies = F.when(F.expr(twice), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return pairs.withColumn("rep", F.explode(copies))
 
 
 def pitch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir, LOGGED).selectExpr(*_items(PITCH_LOG))
+    return _pairs(spark, sf_dir, LOGGED, LOGGED_TWICE).selectExpr(*_items(PITCH_LOG))
 
 
 def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir, TRACED).selectExpr(*_items(TRACE))
+    return _pairs(spark, sf_dir, TRACED, TRACED_TWICE).selectExpr(*_items(TRACE))
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,6 +297,13 @@ def _select(columns: dict[str, str]) -> str:
     return "select " + ",\n  ".join(_items(columns))
 
 
+def _repeated(where: str, twice: str) -> str:
+    return (
+        f"(select distinct l_orderkey, l_linenumber from lineitem where {where}) d,"
+        f" (values (1),(2)) c(rep) where rep = 1 or {twice}"
+    )
+
+
 CTES = {
     "lines": "select l_orderkey, l_linenumber, min(l_partkey) as pk, min(l_suppkey) as sk"
     " from lineitem group by l_orderkey, l_linenumber",
@@ -299,10 +311,8 @@ CTES = {
     " from lines join orders on l_orderkey = o_orderkey",
     "base": f"{_select(BASE)}\n from dated",
     "pitch": f"{_select(PITCH)}\n from base",
-    "pitch_log": f"{_select(PITCH_LOG)}\n from"
-    f" (select distinct l_orderkey, l_linenumber from lineitem where {LOGGED}) d",
-    "pitch_trace": f"{_select(TRACE)}\n from"
-    f" (select distinct l_orderkey, l_linenumber from lineitem where {TRACED}) d",
+    "pitch_log": f"{_select(PITCH_LOG)}\n from {_repeated(LOGGED, LOGGED_TWICE)}",
+    "pitch_trace": f"{_select(TRACE)}\n from {_repeated(TRACED, TRACED_TWICE)}",
     "player_info": f"{_select(PLAYER)}\n from part,"
     " (values (2020),(2021),(2022),(2023),(2024),(2025),(2026)) s(y),"
     " (values (1),(2)) c(club) where club = 1 or p_partkey % 100 = 7",

@@ -324,8 +324,8 @@ STEPS = {
     "joined": """select p.*, l.* exclude (game_seq, pit_seq), t.* exclude (game_seq, pitch_no),
   p.exitspeed / 1.609344e0 as v, p.angle as a
  from pitch p
- left join pitch_log l on l.game_seq = p.game_seq and l.pit_seq = p.pit_seq
- left join pitch_trace t on t.game_seq = p.game_seq and t.pitch_no = p.pitchno""",
+ left join log_read l on l.game_seq = p.game_seq and l.pit_seq = p.pit_seq
+ left join trace_read t on t.game_seq = p.game_seq and t.pitch_no = p.pitchno""",
     "coded": f"""select {_items({**IDENTITY, **MEASURES, **PLAYS})}
  from joined p
  left join codes on codes.code = pit_kind_cd
@@ -369,13 +369,35 @@ STEPS = {
  from extracted e left join arms on arms.league = lower(e.level) and arms.pitcher = e.pitcher""",
 }
 
-_PREFIX = "with " + ",\n".join(
-    f"{name} as ({text})" for name, text in {**TABLES, **VALUES, **STEPS}.items()
-)
+# Log and trace hold some keys twice, so a query has as many rows as the joins
+# it makes give it. Queries that are not listed read neither table.
+BOTH = ("pitch_log", "pitch_trace")
+READS = {
+    **dict.fromkeys(
+        "filter_drop_ot join_pitch_log decode_pitch_kind pitch_name pitch_family runner_state".split(),
+        ("pitch_log",),
+    ),
+    **dict.fromkeys("join_trace trace_passthrough".split(), ("pitch_trace",)),
+    **dict.fromkeys(
+        "agg_release_height agg_side_arm_pitchers agg_pitcher_hand pitcher_arm_slot numeric_ids"
+        " passthrough sort_game_pitch sink_roundtrip publish_one_league".split(),
+        BOTH,
+    ),
+    **dict.fromkeys(["pitch_fact", *(f"pitch_fact_{c}" for c in "aaa kbo kbsa minor npb".split())], BOTH),
+}
+
+
+def _prefix(reads: tuple[str, ...]) -> str:
+    read = {
+        name: f"select * from {table}" + ("" if table in reads else " where false")
+        for name, table in (("log_read", "pitch_log"), ("trace_read", "pitch_trace"))
+    }
+    ctes = {**TABLES, **read, **VALUES, **STEPS}
+    return "with " + ",\n".join(f"{name} as ({text})" for name, text in ctes.items())
 
 
 def statement(columns: str, tail: str) -> str:
-    return f"{_PREFIX}\nselect {columns}\nfrom {tail}"
+    return f"select {columns}\nfrom {tail}"
 
 
 def of(step: str, *names: str, keys: str = "game_seq pit_seq") -> str:
@@ -397,6 +419,10 @@ def _pitches_where(condition: str) -> str:
 
 
 def statements() -> dict[str, str]:
+    return {name: f"{_prefix(READS.get(name, ()))}\n{text}" for name, text in _selects().items()}
+
+
+def _selects() -> dict[str, str]:
     return {
         # sources and sinks
         "scan_pitches": statement("* exclude (game_date_text), game_date_text as date", "pitch"),
