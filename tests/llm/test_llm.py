@@ -179,6 +179,39 @@ def test_edited_items_are_found_like_by_brute_force(spark):
     assert set(map(tuple, some.collect())) == want
 
 
+def copies_at_full_distance(item, edits, strange):
+    """Copies of an item with so many edits, of every kind that moves its words."""
+    n = len(item)
+    yield item[edits:]
+    yield item[: n - edits]
+    yield strange[:edits] + item[edits:]
+    yield item[edits // 2 : n - (edits - edits // 2)]
+    yield item[: n // 3] + item[n // 3 + edits :]
+    gone = set(random.sample(range(n), edits))
+    yield [w for i, w in enumerate(item) if i not in gone]
+    yield [strange[i] if i in gone else w for i, w in enumerate(item)]
+    yield [x for i, w in enumerate(item) for x in ([strange[i], w] if i in gone else [w])]
+
+
+def test_cut_items_are_found_like_by_brute_force(spark):
+    random.seed(44)
+    lengths = (15, 16, 19, 20, 25, 30, 40, 50, 59, 60, 90, 120, 200)
+    items = [[f"i{n}w{random.randrange(9 * n)}" for _ in range(n)] for n in lengths]
+    texts = []
+    for item in items:
+        strange = [f"s{i}" for i in range(len(item))]
+        for copy in copies_at_full_distance(item, EditSearch().edits(len(item)), strange):
+            # In the middle of a text, at its start, its end, and alone.
+            before, after = ([f"{c}{i}" for i in range(2 * len(item))] for c in "ba")
+            texts += [before + copy + after, copy + after, before + copy, copy]
+    per_item = len(texts) // len(items)
+    want = {(d, d // per_item, least_distance(items[d // per_item], t)) for d, t in enumerate(texts)}
+    assert all(least <= EditSearch().edits(lengths[i]) for _, i, least in want)
+    given = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    listed = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    assert set(map(tuple, find_items(given, listed).select("doc_id", "item_id", "distance").collect())) == want
+
+
 def test_decontamination_of_odd_rows(spark, odd):
     listed = spark.createDataFrame(
         [(1, None), (2, ""), (3, "released under the mit license"), (3, "released under the mit license"), (None, "no id at all you see")],
