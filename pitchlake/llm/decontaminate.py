@@ -19,7 +19,7 @@ _NONE = np.uint64(0xB5026F5AA96619E9)
 
 @dataclass(frozen=True)
 class EditSearch:
-    """words: items of fewer are left out. distance: share of an item's words
+    """words: items of fewer are found as they are only. distance: share of an item's words
     that may be edited. walks: independent random walks, each sampled tables
     times at samples places. item_bytes: text of items that one pass over the
     documents compares with; more items take more passes.
@@ -94,18 +94,32 @@ def edit_distances(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np
     return last.min(axis=1), last.argmin(axis=1)
 
 
+def runs(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of n words."""
+    out = h[: len(h) - n + 1]
+    for k in range(1, n):
+        out = combine(out, h[k : len(h) - n + 1 + k], k)
+    return out
+
+
 class Items:
     """Items to look for, by their number of words, ready for the search."""
 
     def __init__(self, rows: list[tuple[int, str]], search: EditSearch) -> None:
         self.search = search
-        words = words_of(pa.array([t for _, t in rows], pa.string()), ALPHANUMERIC)
+        words = words_of(pa.array([t for _, t in rows], pa.string()), ALPHANUMERIC, alone=True)
         hashes = words.hashes(LOWER)
         cut = [hashes[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
         ids: dict[tuple, list[int]] = {}
+        short: dict[int, dict[int, list[int]]] = {}
         for (item_id, _), symbols in zip(rows, cut):
             if len(symbols) >= search.words:
                 ids.setdefault(tuple(symbols.tolist()), []).append(item_id)
+            elif len(symbols):
+                name = int(runs(symbols, len(symbols))[0])
+                short.setdefault(len(symbols), {}).setdefault(name, []).append(item_id)
+        #: By length: names of the items, ascending, and the ids of each.
+        self.short = {n: (np.array(sorted(s), np.uint64), s) for n, s in short.items()}
         by_length: dict[int, list[tuple]] = {}
         for symbols in sorted(ids):
             by_length.setdefault(len(symbols), []).append(symbols)
@@ -143,6 +157,25 @@ class Items:
     def find(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(document, item id, distance, end in words of the document) for every
         item that is found in documents of word hashes h."""
+        return self._find_short(h, first) + self._find_long(h, first)
+
+    def _find_short(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Items of few words, as they are."""
+        doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        out: dict[tuple[int, int], int] = {}
+        for n, (names, ids) in self.short.items():
+            if len(h) < n:
+                continue
+            here = runs(h, n)
+            at = np.flatnonzero(np.isin(here, names) & (doc[n - 1 :] == doc[: len(here)]))
+            # The first of each in a document.
+            at = at[np.sort(np.unique(np.stack([doc[at].astype(np.uint64), here[at]]), axis=1, return_index=True)[1])]
+            for i in at:
+                for item_id in ids[int(here[i])]:
+                    out.setdefault((int(doc[i]), item_id), int(i + n - first[doc[i]]))
+        return [(d, i, 0, stop) for (d, i), stop in out.items()]
+
+    def _find_long(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
         if len(h) < 2 or not self.classes:
             return []
         h, first, lead = self._led(h, first)
@@ -249,7 +282,7 @@ def _search(rows: list[tuple[int, str]], search: EditSearch, id_type: pa.DataTyp
         items = Items(rows, search)
         for batch in batches:
             for i, j in slices(batch.column("text"), 4 << 20):
-                words = words_of(batch.column("text")[i:j], ALPHANUMERIC)
+                words = words_of(batch.column("text")[i:j], ALPHANUMERIC, alone=True)
                 found = items.find(words.hashes(LOWER), words.first)
                 if not found:
                     continue
@@ -276,9 +309,10 @@ def find_items(
     search.distance of the item's words) and last_word (where the first such
     stretch ends, in words).
 
-    Words are runs of letters and digits, lower-cased (A-Z). Null and empty
-    texts hold nothing; null items and ids and items of fewer than search.words
-    words are left out. Repeated items are all reported; of rows that repeat a
+    Words are runs of letters and digits, lower-cased (A-Z); in scripts without
+    spaces every character is one. Null and empty texts hold nothing; null items
+    and ids and items without words are left out, and items of fewer than
+    search.words words are found as they are only. Repeated items are all reported; of rows that repeat a
     doc_id the least distance is.
 
     A stretch within k edits of an item of n words shares at least n - 1 - 2k

@@ -18,6 +18,11 @@ NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 #: ASCII letters and digits, and every byte of longer characters.
 ALPHANUMERIC = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
+#: First two bytes of the characters of scripts without spaces between words:
+#: Thai, Lao, Burmese, Khmer, Chinese and Japanese.
+_ALONE = np.zeros(1 << 16, bool)
+for _low, _high in ((0xE0B8, 0xE0BB), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE380, 0xE383), (0xE390, 0xE9BF), (0xEFA4, 0xEFAB), (0xF0A0, 0xF0B3)):
+    _ALONE[_low : _high + 1] = True
 SAME = np.arange(256, dtype=np.uint8)
 LOWER = SAME.copy()
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -90,7 +95,8 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray = NOT_SPACE) -> Words:
+def find_words(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray = NOT_SPACE, alone: bool = False) -> Words:
+    """alone: characters of scripts without spaces are words of their own."""
     n = len(data)
     inside = marks[data]
     begins = inside.copy()
@@ -100,6 +106,14 @@ def find_words(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray = NOT_SP
     ends = inside.copy()
     ends[:-1] &= ~inside[1:]
     ends[edges - 1] = inside[edges - 1]
+    if alone:
+        at = np.flatnonzero(data[:-2] >= 0xE0)
+        at = at[_ALONE[data[at].astype(np.int64) << 8 | data[at + 1]]]
+        after = at + np.where(data[at] >= 0xF0, 4, 3)
+        begins[at] = True
+        ends[at[at > 0] - 1] = inside[at[at > 0] - 1]
+        ends[np.minimum(after, n) - 1] = True
+        begins[after[after < n]] = inside[after[after < n]]
     start = np.flatnonzero(begins)
     return Words(data, start, np.flatnonzero(ends) + 1, np.searchsorted(start, offsets), offsets)
 
@@ -115,5 +129,5 @@ def slices(texts: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, in
         at = to
 
 
-def words_of(texts: pa.Array, marks: np.ndarray = NOT_SPACE) -> Words:
-    return find_words(*text_bytes(texts), marks)
+def words_of(texts: pa.Array, marks: np.ndarray = NOT_SPACE, alone: bool = False) -> Words:
+    return find_words(*text_bytes(texts), marks, alone)

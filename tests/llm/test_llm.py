@@ -222,6 +222,18 @@ def test_decontamination_of_odd_rows(spark, odd):
     assert find_items(odd.limit(0), listed).count() == 0
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese = "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"
+    items = [(1, "Alpha"), (2, "beta gamma"), (2, "delta beta gamma, zeta"), (3, "..."), (4, chinese), (5, "ไทย"), (6, "カナ文字"), (7, "Beta gamma!")]
+    texts = ["an alphabet", "x ALPHA y alpha", "beta. Gamma", "gamma beta", "beta", "gamma", "delta beta gamma zeta",
+             f"前言{chinese}后记", f"x{chinese[3:]}y", chinese[:9], "สวัสดีไทยแลนด์", "半角カナ文字だ", "", None]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    listed = spark.createDataFrame(items, "item_id long, text string")
+    assert rows_of(find_items(given, listed), "*") == sorted(
+        [(1, 1, 0, 2), (2, 2, 0, 2), (2, 7, 0, 2), (6, 2, 0, 3), (6, 7, 0, 3), (7, 4, 0, 22), (8, 4, 3, 18), (10, 5, 0, 9), (11, 6, 0, 6)], key=repr
+    )
+
+
 # ---- substrings -------------------------------------------------------------
 
 
