@@ -3,27 +3,30 @@ from labels of whole documents (multiple-instance learning)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .storage import written
 from .words import LOWER, Words, slices, words_of
 
 
 @dataclass(frozen=True)
 class Learning:
     """passage: words of one. most_rows: labelled documents that the model is
-    fitted on at most, those of least hash of their id; most_passages: of one of
-    them, evenly spaced. Scoring reads every passage of every document. hidden,
-    gate: widths of the encoder and of the attention. keep: least score that
-    counts as good."""
+    fitted on at most, those of least hash of their id. Learning and scoring read
+    every passage of a document. local_bytes: of their features that the driver
+    learns from at most; gradients of more are summed in Spark. hidden, gate:
+    widths of the encoder and of the attention. keep: least score that counts as
+    good."""
 
     passage: int = 32
     most_rows: int = 4000
-    most_passages: int = 64
+    local_bytes: int = 64 << 20
     hidden: int = 16
     gate: int = 8
     steps: int = 100
@@ -149,48 +152,94 @@ class Attention:
             return np.zeros(0)
         return self._forward((x - self.mean) / self.spread, first)["score"]
 
-    def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray, learning: Learning) -> Attention:
-        """Adam on the mean log loss of whole documents."""
-        if not len(y):
-            return self
-        self.mean, self.spread = x.mean(axis=0, dtype=np.float64), x.std(axis=0, dtype=np.float64) + 1e-3
+    def moments(self, x: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict:
+        return {"docs": np.array([len(y)]), "n": np.array([len(x)]), "sum": x.sum(axis=0), "squares": (x**2).sum(axis=0)}
+
+    def gradients(self, x: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict:
+        """Of the log losses of some whole documents, summed."""
+        p = self.weights
         x = (x - self.mean) / self.spread
+        f = self._forward(x, first)
+        doc, h, t, u, a, z = (f[k] for k in ("doc", "h", "t", "u", "a", "z"))
+        d_logit = f["score"] - y
+        dz = d_logit[:, None] * p["c"]
+        da = (h * dz[doc]).sum(axis=1)
+        mean = np.add.reduceat(a * da, first[:-1])
+        de = a * (da - mean[doc])
+        dt, du = de[:, None] * p["w"] * u * (1 - t**2), de[:, None] * p["w"] * t * u * (1 - u)
+        dh = a[:, None] * dz[doc] + dt @ p["V"].T + du @ p["U"].T
+        dh *= 1 - h**2
+        return {
+            "W": x.T @ dh, "b": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ du,
+            "w": (t * u).T @ de, "c": z.T @ d_logit, "o": d_logit.sum(keepdims=True),
+        }
+
+    def fit(self, total: Callable[[Callable], dict | None], learning: Learning) -> Attention:
+        """Adam on the mean log loss of whole documents; total sums what a function
+        of (x, first, y) returns over all of them."""
+        found = total(self.moments)
+        if found is None:
+            return self
+        docs = int(found["docs"][0])
+        self.mean = found["sum"] / found["n"]
+        self.spread = np.sqrt(np.maximum(found["squares"] / found["n"] - self.mean**2, 0)) + 1e-3
         p = self.weights
         m = {k: np.zeros_like(v) for k, v in p.items()}
         s = {k: np.zeros_like(v) for k, v in p.items()}
         for step in range(1, learning.steps + 1):
-            f = self._forward(x, first)
-            doc, h, t, u, a, z = (f[k] for k in ("doc", "h", "t", "u", "a", "z"))
-            d_logit = (f["score"] - y) / len(y)
-            dz = d_logit[:, None] * p["c"]
-            da = (h * dz[doc]).sum(axis=1)
-            mean = np.add.reduceat(a * da, first[:-1])
-            de = a * (da - mean[doc])
-            dt, du = de[:, None] * p["w"] * u * (1 - t**2), de[:, None] * p["w"] * t * u * (1 - u)
-            dh = a[:, None] * dz[doc] + dt @ p["V"].T + du @ p["U"].T
-            dh *= 1 - h**2
-            grads = {
-                "W": x.T @ dh, "b": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ du,
-                "w": (t * u).T @ de, "c": z.T @ d_logit, "o": d_logit.sum(keepdims=True),
-            }
-            for k, g in grads.items():
+            for k, g in total(self.gradients).items():
+                g = g / docs
                 if k not in ("b", "o"):
-                    g = g + learning.decay * p[k] / len(y) ** 0.5
+                    g = g + learning.decay * p[k] / docs**0.5
                 m[k] = 0.9 * m[k] + 0.1 * g
                 s[k] = 0.999 * s[k] + 0.001 * g * g
                 p[k] = p[k] - learning.rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)
         return self
 
 
+def _parts(x: list[bytes], y: list[float], most: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Whole documents of about most passages, ready for the model."""
+    ends = np.cumsum([len(v) // (4 * FEATURES) for v in x])
+    for part in np.split(np.arange(len(x)), np.flatnonzero(np.diff(ends // most)) + 1):
+        held = [np.frombuffer(x[i], np.float32).reshape(-1, FEATURES) for i in part]
+        if held:
+            first = np.concatenate([[0], np.cumsum([len(v) for v in held])])
+            yield np.concatenate(held).astype(np.float64), first, np.array([y[i] for i in part])
+
+
+def _summed(results: Iterable[dict]) -> dict | None:
+    total = None
+    for found in results:
+        total = found if total is None else {k: total[k] + v for k, v in found.items()}
+    return total
+
+
+def _total_local(rows: list) -> Callable[[Callable], dict | None]:
+    x, y = [r["x"] for r in rows], [r["quality"] for r in rows]
+    return lambda of: _summed(of(*part) for part in _parts(x, y))
+
+
+def _total_spark(stored: DataFrame) -> Callable[[Callable], dict | None]:
+    """Every task sums over its documents; one short row of each comes back."""
+
+    def total(of: Callable) -> dict | None:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = (part for b in batches for part in _parts(b.column("x").to_pylist(), b.column("quality").to_pylist()))
+            found = _summed(of(*part) for part in parts)
+            if found is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(found)], pa.binary())], names=["found"])
+
+        return _summed(pickle.loads(r["found"]) for r in stored.mapInArrow(run, "found binary").collect())
+
+    return total
+
+
 def _features(learning: Learning):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in slices(batch.column("text")):
                 x, first = passages(words_of(batch.column("text")[i:j]), learning.passage)
-                held = []
-                for a, b in zip(first[:-1], first[1:]):
-                    n = min(b - a, learning.most_passages)
-                    held.append(x[a + (np.arange(n) * (b - a)) // n].tobytes())
+                held = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id")[i:j], batch.column("quality")[i:j], pa.array(held, pa.binary())],
                     names=["id", "quality", "x"],
@@ -215,10 +264,12 @@ def learn_quality(
     document id the one whose features come first. Without any label the model
     scores every document alike.
     """
+    ids = docs.select(F.col(doc_id).alias("id")).distinct()
     given = (
         labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1) & ~held_out(doc_id))
         .groupBy(F.col(doc_id).alias("id"))
         .agg(F.min(label).cast("double").alias("quality"))
+        .join(ids, "id", "left_semi")
         .orderBy(F.xxhash64("id"), "id")
         .limit(learning.most_rows)
     )
@@ -226,15 +277,13 @@ def learn_quality(
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(given), "id")
     kind = docs.schema[doc_id].dataType.simpleString()
     described = rows.mapInArrow(_features(learning), f"id {kind}, quality double, x binary")
-    # One bounded row per labelled id comes back, however often an id is repeated.
-    found = described.groupBy("id").agg(F.min("quality").alias("quality"), F.min("x").alias("x")).collect()
-    found.sort(key=lambda r: r["id"])
-    if not found:
-        return Attention(learning)
-    x = [np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES) for r in found]
-    first = np.concatenate([[0], np.cumsum([len(v) for v in x])])
-    y = np.array([r["quality"] for r in found])
-    return Attention(learning).fit(np.concatenate(x).astype(np.float64), first, y, learning)
+    # One row per labelled id, however often an id is repeated.
+    once = described.groupBy("id").agg(F.min("quality").alias("quality"), F.min("x").alias("x"))
+    stored = written(once, "features")
+    held = stored.agg(F.sum(F.octet_length("x"))).first()[0] or 0
+    if held > learning.local_bytes:
+        return Attention(learning).fit(_total_spark(stored), learning)
+    return Attention(learning).fit(_total_local(sorted(stored.collect(), key=lambda r: r["id"])), learning)
 
 
 def _score(model: Attention, learning: Learning, text: str, keep: list[str]):

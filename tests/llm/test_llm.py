@@ -21,7 +21,7 @@ from pitchlake.llm.embedding_pairs import Tiles, link_vectors
 from pitchlake.llm.license_scan import TEMPLATES, Scan, scan_licenses
 from pitchlake.llm.mixing import mix_sources
 from pitchlake.llm.near_duplicates import ChosenPaths, near_duplicates
-from pitchlake.llm.quality import learn_quality, score_quality
+from pitchlake.llm.quality import Learning, learn_quality, score_quality
 from pitchlake.llm.storage import new_folder
 from pitchlake.llm.substrings import Passages, drop_repeats
 from pitchlake.llm.token_shards import KeyIndex, ShardLayout, find_keys, read_tokens, stored_keys, write_tokens
@@ -408,6 +408,23 @@ def test_quality_learns_each_id_once(spark, odd):
     assert all(np.array_equal(once.weights[k], often.weights[k]) for k in once.weights)
 
 
+def test_quality_learns_from_all_passages_of_given_documents(spark):
+    plain = ["word"] * 6400
+    strange = plain[:32] + ["$#% 12"] * 16 + plain[64:]
+    texts = [" ".join(strange if i % 2 else plain) for i in range(40)]
+    given = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, quality int")
+    model = learn_quality(given, labels)
+    scores = {r["doc_id"]: r["score"] for r in score_quality(given, model, ["doc_id"]).collect()}
+    assert min(v for i, v in scores.items() if i % 2 == 0) > max(v for i, v in scores.items() if i % 2) + 0.5
+    summed = learn_quality(given, labels, learning=Learning(local_bytes=0))
+    assert all(np.allclose(model.weights[k], summed.weights[k], rtol=1e-3, atol=1e-4) for k in model.weights)
+    # Labels without a document take no place of the rows.
+    absent = spark.range(1000, 9000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    few = learn_quality(given, labels.unionAll(absent), learning=Learning(most_rows=40))
+    assert all(np.array_equal(model.weights[k], few.weights[k]) for k in model.weights)
+
+
 # ---- urls -------------------------------------------------------------------
 
 
