@@ -10,7 +10,7 @@ stages that compare documents by id. Empty tables pass through every stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pitchlake.llm.decontaminate import find_items
 from pitchlake.llm.mixing import WORD, mix_sources
@@ -21,6 +21,8 @@ from pitchlake.llm.storage import written
 
 #: Largest list of ids that is sent to all tasks; larger ones are shuffled.
 BROADCAST_BYTES = 64 << 20
+#: Most rows of one unit of the mix that are ranked in one task.
+RANKED_ROWS = 4096
 
 
 def _sent(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -54,40 +56,76 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _without(docs, find_items(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
 
 
+def _with_one_more(rows: DataFrame) -> DataFrame:
+    """The _row of _more rows of each _unit, which has _rows, in order of _hash.
+
+    Large units are cut by ten bits of the order at a time: counts by unit and
+    digit tell where the last chosen row lies, until few rows are left to rank.
+    Rows of equal text are told apart by their number.
+    """
+    digits = [
+        F.pmod(F.shiftrightunsigned(h, 10 * k), F.lit(1024)).alias("_digit")
+        for h in (F.col("_hash"), F.xxhash64("_row"))
+        for k in range(6)
+    ]
+    order = [*digits, F.col("_row")]
+    few, large, chosen = rows.where(F.col("_rows") <= RANKED_ROWS), rows.where(F.col("_rows") > RANKED_ROWS), []
+    most = rows.agg(F.max("_rows")).first()[0]
+    for digit in digits:
+        if most <= RANKED_ROWS:
+            break
+        counts = large.groupBy("_unit", digit).agg(F.count("*").alias("_n"), F.min("_more").alias("_more"))
+        upto = F.sum("_n").over(Window.partitionBy("_unit").orderBy("_digit"))
+        cut = counts.withColumn("_upto", upto).where("_upto >= _more and _upto - _n < _more")
+        cut = _sent(cut.selectExpr("_unit as _of", "_digit as _cut", "_more - _upto + _n as _left", "_n"), 64)
+        most = cut.agg(F.max("_n")).first()[0]
+        split = large.withColumn("_digit", digit).join(cut, F.col("_unit") == F.col("_of"))
+        chosen.append(split.where("_digit < _cut").select("_row"))
+        at = split.where("_digit = _cut").selectExpr("_unit", "_left as _more", "_n as _rows", "_hash", "_row")
+        few = few.unionAll(at.where(F.col("_rows") <= RANKED_ROWS))
+        large = at.where(F.col("_rows") > RANKED_ROWS)
+    ranked = few.withColumn("_rank", F.row_number().over(Window.partitionBy("_unit").orderBy(*order)))
+    out = ranked.where("_rank <= _more").select("_row")
+    for part in chosen:
+        out = out.unionAll(part)
+    return out
+
+
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; empty ones are taken never.
 
-    Rows of equal id, source and size are one unit of the mix; where there are
-    any, its copies are dealt to them in order of their text.
+    Rows of equal id, source and size are one unit of the mix: all are taken
+    equally often, and some of them once more, in order of a hash of their text.
     """
-    taken = mix_sources(docs).where("taken > 0")
     unit = [F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")]
-    copies = taken.select(*unit, (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
+    copies = mix_sources(docs).where("size > 0").select(*unit, (F.col("taken") / F.col("size")).cast("long").alias("_copies"))
     listed = copies.groupBy("_id", "_source", "_size").agg(
-        F.sort_array(F.collect_list("_copies"), asc=False).alias("_copies")
+        F.count("*").alias("_rows"), F.min("_copies").alias("_whole"), F.sum("_copies").alias("_all")
     )
-    listed = written(listed, "copies")
-    repeated = listed.where(F.size("_copies") > 1).limit(1).count() > 0
+    listed = listed.where("_all > 0").withColumn("_more", F.col("_all") - F.col("_whole") * F.col("_rows"))
+    listed = written(listed.drop("_all").withColumn("_unit", F.monotonically_increasing_id()), "copies")
+    repeated = listed.where("_more > 0").limit(1).count() > 0
     sized = docs.withColumn(
         "_words", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
     )
-    own = F.lit(1)
-    if repeated:
-        from pyspark.sql import Window
-
-        same = Window.partitionBy("doc_id", "source", "_words").orderBy("text")
-        sized = sized.withColumn("_n", F.row_number().over(same))
-        own = F.col("_n")
     joined = sized.join(
         _sent(listed, 64),
         F.col("doc_id").eqNullSafe(F.col("_id"))
         & F.col("source").eqNullSafe(F.col("_source"))
         & (F.col("_words") == F.col("_size")),
     )
-    times = F.coalesce(F.get("_copies", own - 1), F.lit(0))
-    return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), times)).alias("_time")
-    ).drop("_time")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    times = joined.where("_more = 0").select(*own, F.col("_whole").cast("int").alias("_times"))
+    if repeated:
+        some = joined.where("_more > 0").select(
+            *own, "_unit", "_more", "_rows", "_whole", F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_row")
+        )
+        some = written(some, "repeated")
+        more = _with_one_more(some.select("_unit", "_more", "_rows", "_hash", "_row"))
+        some = some.join(more.select(F.col("_row").alias("_chosen")), F.col("_row") == F.col("_chosen"), "left")
+        once = F.when(F.col("_chosen").isNotNull(), 1).otherwise(0)
+        times = times.unionAll(some.select(*own, (F.col("_whole") + once).cast("int").alias("_times")))
+    return times.select(*own, F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_time")).drop("_time")
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

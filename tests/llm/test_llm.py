@@ -470,6 +470,29 @@ def test_pipeline_stage_by_stage(spark, docs):
     assert tokens.count() == before.count()
 
 
+@pytest.mark.parametrize("ranked", [3, 4096])
+def test_mix_takes_each_unit_as_often_as_drawn(spark, monkeypatch, ranked):
+    monkeypatch.setattr(corpus_pipeline, "RANKED_ROWS", ranked)
+    rows = [(1, "a b c", "s", i) for i in range(700)] + [(1, f"a b x{i % 50}", "s", i) for i in range(900)]
+    rows += [(None, f"n{i} n", None, i) for i in range(300)] + [(i, f"x{i} y z", "t", i) for i in range(10, 500)] + [(5, "", "s", 0), (5, None, "t", 0)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, source string, place long").repartition(4)
+    got = corpus_pipeline.mix_to_weights(spark, given, SF_DIR)
+    assert got.columns == given.columns and "collect_list" not in got._jdf.queryExecution().toString()
+    per_row, per_unit = {}, {}
+    for r in got.collect():
+        unit = (r["doc_id"], r["source"], len(WORD.findall(r["text"])))
+        per_row[tuple(r)] = per_row.get(tuple(r), 0) + 1
+        per_unit[unit] = per_unit.get(unit, 0) + 1
+    want = {}
+    for r in mix_sources(given).where("taken > 0").collect():
+        unit = (r["doc_id"], r["source"], r["size"])
+        want[unit] = want.get(unit, 0) + r["taken"] // r["size"]
+    assert per_unit == want and set(per_row) <= set(rows)
+    for unit, n in want.items():
+        own = [per_row.get(r, 0) for r in rows if (r[0], r[2], len(WORD.findall(r[1] or ""))) == unit]
+        assert sum(own) == n and max(own) - min(own) <= 1
+
+
 def test_pipeline_of_no_documents(spark, docs):
     before = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
