@@ -143,6 +143,115 @@ def _urls() -> str:
     from page left join fit on page.page_id = fit.page_id and n = 1"""
 
 
+LINES = rf"""
+  with line as (
+    select doc_id, unnest(w) as line, unnest(range(len(w))) as i
+    from (select doc_id, string_split(coalesce(text, ''), chr(10)) as w from documents)),
+  keyed as (
+    select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                        '{UPPER}', '{UPPER.lower()}') as k from line),
+  repeated as (
+    select k, max(doc_id) as last from keyed where length(k) >= 20 group by k having count(distinct doc_id) >= 3),
+  judged as (
+    select doc_id, i, line, last is not null and last <> doc_id as gone from keyed left join repeated using (k))
+  select doc_id, count(*) as n_lines, cast(count(*) filter (where gone) as bigint) as n_dropped,
+         sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+  from judged group by doc_id"""
+
+
+def _codes(rounds: int = 6) -> str:
+    """One pair of steps for each round: nearest entries, then floored means."""
+
+    def nearest(k: int) -> str:
+        return f"""
+  near{k} as materialized (
+    select row, part, min(gap * 16 + entry) % 16 as entry, min(gap * 16 + entry) // 16 as gap
+    from (select row, v.part, entry, sum((v.x - b.x) * (v.x - b.x)) as gap
+          from v join book{k} b on v.part = b.part and v.pos = b.pos group by row, v.part, entry)
+    group by row, part)"""
+
+    def replaced(k: int) -> str:
+        return f"""
+  mean{k} as (
+    select near{k}.part, entry, pos, sum(x) as s, count(*) as n
+    from near{k} join v using (row, part) group by near{k}.part, entry, pos),
+  book{k + 1} as materialized (
+    select b.part, b.entry, b.pos,
+           cast(case when n is null then b.x else (s - (((s % n) + n) % n)) // n end as bigint) as x
+    from book{k} b left join mean{k} m on b.part = m.part and b.entry = m.entry and b.pos = m.pos)"""
+
+    steps = ",".join(f"{nearest(k)},{replaced(k)}" for k in range(rounds))
+    return f"""
+  with e as (
+    select vec_id, label, embedding, row_number() over (order by vec_id) as row from embeddings
+    where embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+  flat as (
+    select row, unnest(embedding) as x, unnest(range(len(embedding))) as p, len(embedding) // 8 as width from e),
+  v as materialized (
+    select row, p // width as part, p % width as pos, cast(floor(4096.0 * cast(x as double)) as bigint) as x from flat),
+  book0 as materialized (select part, row - 1 as entry, pos, x from v where row <= 16),{steps},{nearest(rounds)},
+  digest as (
+    select sha256(string_agg(cast(x as varchar), ',' order by part, entry, pos)) as codebooks_sha256 from book{rounds}),
+  coded as (
+    select row, string_agg(printf('%02x', cast(entry as integer)), '' order by part) as code,
+           cast(sum(gap) as bigint) as error
+    from near{rounds} group by row)
+  select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+  from coded join e using (row), digest"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, one step of the reversed polynomial per byte."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    return f"""xor(4294967295::bigint, list_reduce(
+      list_prepend(4294967295::bigint, list_transform(range(1, octet_length(encode({text})) + 1),
+        lambda i: cast('0x' || substr(hex(encode({text})), 2 * i - 1, 2) as bigint))),
+      lambda c, b: xor(list_extract(cast({table} as bigint[]), cast((xor(c, b) & 255) + 1 as integer)), c >> 8)))"""
+
+
+def _resampling() -> str:
+    words = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+    def features(table: str, key: str) -> str:
+        return f"""
+    select {key} as id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as f
+    from (select {key}, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{words}') as w
+          from {table})"""
+
+    return f"""
+  with d as materialized (select id, f, count(*) as n from ({features("documents", "doc_id")}) group by id, f),
+  b as materialized (select f, count(*) as n from ({features("benchmark", "item_id")}) group by f),
+  bucket as materialized (
+    select f, {_crc32("f")} % 10000 as k from (select f from d union select f from b)),
+  s as (select k, sum(n) as s from d join bucket using (f) group by k),
+  t as (select k, sum(n) as t from b join bucket using (f) group by k),
+  gain as (
+    select k, cast(floor(1000.0 * ln(
+      ((coalesce(t, 0) + 1.0)::double * ((select coalesce(sum(n), 0) from d) + 10000.0)::double)
+      / ((coalesce(s, 0) + 1.0)::double * ((select coalesce(sum(n), 0) from b) + 10000.0)::double))) as bigint) as g
+    from (select unnest(range(10000)) as k) left join s using (k) left join t using (k)),
+  weighed as (
+    select id, cast(sum(n) as bigint) as n, cast(sum(n * g) as bigint) as g from d join bucket using (f) join gain using (k) group by id),
+  scored as (
+    select doc_id, coalesce(n, 0) as n_features, coalesce((g - (((g % n) + n) % n)) // n, 0) as weight,
+           cast('0x' || substr(sha256('7:' || doc_id), 1, 8) as bigint) as h
+    from documents left join weighed on doc_id = id),
+  final as (
+    select doc_id, n_features, weight,
+           weight + cast(floor(-1000.0 * ln(-ln((h + 0.5)::double / 4294967296.0::double))) as bigint) as score
+    from scored),
+  ranked as (
+    select doc_id, row_number() over (order by score desc, doc_id) as r, count(*) over () as n
+    from final where n_features >= 39)
+  select final.doc_id, n_features, weight, score, case when r <= 25 * n // 100 then r end as rank
+  from final left join ranked on final.doc_id = ranked.doc_id"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_license_scan": _license_scan(),
@@ -151,4 +260,7 @@ def statements() -> dict[str, str]:
         "op6_embedding_dedup": EMBEDDINGS,
         "op7_minhash_dedup": NEAR,
         "op10_url_filter": _urls(),
+        "op11_line_dedup": LINES,
+        "op12_vector_codes": _codes(),
+        "op13_importance_resampling": _resampling(),
     }

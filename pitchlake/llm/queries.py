@@ -1,4 +1,4 @@
-"""Queries of the ten operators over their whole tables, with production
+"""Queries of the operators over their whole tables, with production
 parameters. Each takes (spark, folder of the tables) and returns a DataFrame."""
 
 from __future__ import annotations
@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .decontaminate import find_items
 from .embedding_pairs import link_vectors
 from .license_scan import scan_licenses
+from .line_dedup import drop_repeated_lines
 from .mixing import mix_sources
 from .near_duplicates import near_duplicates
 from .quality import held_out, learn_quality, score_quality
+from .resampling import resample
 from .storage import new_folder
 from .substrings import drop_repeats
 from .token_shards import read_tokens, stored_keys, write_tokens
 from .url_filter import rules_table, url_filter
+from .vector_codes import coded_rows, learn_codes
 from .warc import read_archive, write_archive
 
 # The rules of the url query.
@@ -105,6 +108,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), rules_table(spark, URL_RULES))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, sf_dir, "documents"), new_folder(spark, "line-index"), texts=False)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded_rows(spark, learn_codes(table(spark, sf_dir, "embeddings")))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
@@ -119,5 +134,8 @@ def queries() -> dict:
             op8_mix_sources,
             op9_quality,
             op10_url_filter,
+            op11_line_dedup,
+            op12_vector_codes,
+            op13_importance_resampling,
         )
     }
