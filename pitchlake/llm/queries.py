@@ -31,17 +31,30 @@ URL_RULES = [
 ]
 
 
+#: Worker processes live as long as their executor. By these settings of the C
+#: library and of Arrow, blocks of a megabyte or more are not kept once freed.
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(4 << 20),
+    "MALLOC_ARENA_MAX": "2",
+}
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, and
-    hand texts over in smaller batches than Spark's own, which are for short rows."""
-    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(batch)) == 10_000:
-        spark.conf.set(batch, "2000")
+    """Let Python workers import this package from where the driver has it, hand
+    texts over in smaller batches than Spark's own, which are for short rows,
+    and let workers give large arrays back to the system as they are freed."""
+    for batch, given, wanted in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "8m")):
+        if spark.conf.get(f"spark.sql.execution.arrow.{batch}") == given:
+            spark.conf.set(f"spark.sql.execution.arrow.{batch}", wanted)
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(":")
     if root not in known:
         environment["PYTHONPATH"] = ":".join([root, *filter(None, known)])
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

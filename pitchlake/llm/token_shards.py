@@ -51,16 +51,18 @@ class WordEncoder:
 
     Only for tokenizers that cut at white space and drop it, so that the ids of
     a text are those of its words one after the other; `fits` tells them by
-    their file. A word's ids are kept for the next time it is met.
+    their file. A word's ids are kept for the next time it is met, up to a
+    bound in bytes, beyond which all are forgotten at once.
     """
 
-    #: Words kept; beyond it new words are encoded each time they come up.
-    KEPT = 400_000
+    #: Bytes of kept words and ids, and what a word takes beside them.
+    KEPT_BYTES, WORD_BYTES = 24 << 20, 160
     SIMPLE = re.compile(r"([A-Za-z]+)([.,]?)\Z")
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
         self.kept: dict[str, bytes] = {}
+        self.kept_bytes = 0
         self.marks = {"": []}
         for mark in ".,":
             self.marks[mark] = tokenizer.encode(mark, add_special_tokens=False).ids
@@ -90,14 +92,19 @@ class WordEncoder:
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         found = np.array(ids, "<u4").tobytes()
-        if len(self.kept) < self.KEPT:
-            self.kept[text] = found
+        self.kept_bytes += len(text) + len(found) + self.WORD_BYTES
+        self.kept[text] = found
         return found
 
+    def forget(self) -> None:
+        self.kept, self.kept_bytes = {}, 0
+
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the number of ids of each."""
         lists = pc.split_pattern_regex(pc.fill_null(texts, ""), "[ \t-\r]+")
         words = lists.flatten().dictionary_encode()
+        if self.kept_bytes > self.KEPT_BYTES:
+            self.forget()
         known, encode = self.kept.get, self.word
         pieces = [known(w) if w in self.kept else encode(w) for w in words.dictionary.to_pylist()]
         lengths = np.fromiter((len(p) // 4 for p in pieces), np.int64, len(pieces))

@@ -27,11 +27,6 @@ SAME = np.arange(256, dtype=np.uint8)
 LOWER = SAME.copy()
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-_BYTE = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """Finalizer that spreads every bit of a 64-bit value over all bits."""
     x = x ^ np.uint64(seed)
@@ -45,17 +40,12 @@ def combine(left: np.ndarray, right: np.ndarray, seed: int = 0) -> np.ndarray:
     return mix(left * np.uint64(0xD6E8FEB86659FD93) + right, seed)
 
 
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power_table(base: int, n: int) -> np.ndarray:
-    table = _powers.get(base)
-    if table is None or len(table) < n:
-        table = np.full(max(n, 1 << 16), base, np.uint64)
-        table[0] = 1
-        table = np.multiply.accumulate(table)
-        _powers[base] = table
-    return table
+#: Numbers of a byte at one of the first places of its word; further places go
+#: through mix().
+_PLACES, _SEED = 64, 0x9E3779B97F4A7C15
+_AT_PLACE = mix(np.arange(_PLACES << 8, dtype=np.uint64), _SEED)
+#: Bytes that are hashed at once; bounds what stands beside the text itself.
+_HASHED_BYTES = 1 << 18
 
 
 @dataclass
@@ -70,14 +60,26 @@ class Words:
     offsets: np.ndarray
 
     def hashes(self, fold: np.ndarray = SAME) -> np.ndarray:
-        """Hash of each word, of its bytes after folding."""
-        n = len(self.data)
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[fold][self.data] * _power_table(_BASE, n)[:n], out=sums[1:])
-        raw = (sums[self.end] - sums[self.start]) * _power_table(_INVERSE, n)[self.start]
-        return mix(raw + (self.end - self.start).astype(np.uint64))
+        """Hash of each word, of its bytes after folding: the sum of a random
+        number for each byte and its place in the word, and of the length."""
+        out = (self.end - self.start).astype(np.uint64)
+        for low in range(0, len(self.data), _HASHED_BYTES):
+            high = min(low + _HASHED_BYTES, len(self.data))
+            i, j = np.searchsorted(self.end, low, "right"), np.searchsorted(self.start, high)
+            if i == j:
+                continue
+            begins, ends = np.maximum(self.start[i:j], low), np.minimum(self.end[i:j], high)
+            first = begins[0]
+            # Bytes between words go on counting and belong to no sum.
+            place = np.arange(first, high) - np.repeat(self.start[i:j], np.diff(begins, append=high))
+            byte = fold[self.data[first:high]]
+            value = _AT_PLACE[np.minimum(place, _PLACES - 1) << 8 | byte]
+            far = np.flatnonzero(place >= _PLACES)
+            value[far] = mix(place[far].astype(np.uint64) << np.uint64(8) | byte[far], _SEED)
+            sums = np.zeros(high - first + 1, np.uint64)
+            np.cumsum(value, out=sums[1:])
+            out[i:j] += sums[ends - first] - sums[begins - first]
+        return mix(out)
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

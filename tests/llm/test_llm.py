@@ -298,11 +298,11 @@ def test_vectors_link_like_by_brute_force(spark):
 # ---- near duplicates --------------------------------------------------------
 
 
-def groups_by_force(rows):
+def groups_by_force(rows, shingle=2):
     sets = {}
     for doc_id, text in rows:
         words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        sets[doc_id] = {tuple(words[i : i + 2]) for i in range(len(words) - 1)} or {tuple(words)} - {()}
+        sets[doc_id] = {tuple(words[i : i + shingle]) for i in range(len(words) - shingle + 1)} or {tuple(words)} - {()}
     label = {d: d for d in sets}
     pairs = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     for _ in sets:
@@ -447,8 +447,17 @@ def test_urls_by_rules(spark, size):
 # ---- pipeline ---------------------------------------------------------------
 
 
+def dropped_by_force(df):
+    """Rows whose id is not the least of its group by runs of five words."""
+    rows = df.where("doc_id is not null").select("doc_id", "text").collect()
+    kept = groups_by_force(dict(rows).items(), shingle=5)
+    return sum(not kept[r["doc_id"]][2] for r in rows)
+
+
 def test_pipeline_stage_by_stage(spark, docs):
     given = docs.withColumn("score", F.lit("x")).withColumn("kept", F.lit(1))
+    for name in ("_gone", "_id", "_size", "_more", "_words", "_row", "c0"):
+        given = given.withColumn(name, F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")))
     given = given.unionByName(given.where("doc_id = 3")).unionByName(given.where("doc_id = 4").withColumn("doc_id", F.lit(None).cast("long")))
     before = given
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -458,13 +467,16 @@ def test_pipeline_stage_by_stage(spark, docs):
             assert after.exceptAll(before).count() == 0 and after.count() > 0.5 * before.count()
         if name == "near-duplicates":
             texts = [(r["doc_id"], r["text"]) for r in after.where("doc_id is not null").dropDuplicates(["doc_id"]).collect()]
-            assert all(kept for _, _, kept in groups_by_force(texts).values())
+            assert all(kept for _, _, kept in groups_by_force(texts, shingle=5).values())
+            assert after.count() == before.count() - dropped_by_force(before)
         if name == "decontamination":
             assert find_items(after, spark.read.parquet(f"{SF_DIR}/benchmark.parquet")).count() == 0
         if name == "mixing":
             words = lambda df: df.agg(F.sum(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")))).first()[0]
             assert words(after) == pytest.approx(1.5 * words(before), rel=0.1)
             assert after.select("doc_id").exceptAll(before.select("doc_id").unionAll(before.select("doc_id"))).count() == 0
+        odd_names = [F.col(c) == F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in ("_gone", "_words", "_more", "c0")]
+        assert after.where("doc_id is not null").where(~(odd_names[0] & odd_names[1] & odd_names[2] & odd_names[3])).count() == 0
         before = after
     tokens = corpus_pipeline.STAGES[-1][1](spark, before, SF_DIR)
     assert tokens.count() == before.count()
