@@ -3,18 +3,21 @@ benchmark items, mixed to source weights, as token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next one's docs. All but the last return the
-columns of documents, extra ones included. Documents are told apart by doc_id;
+columns of documents, extra ones included, whatever their names. Documents are told apart by doc_id;
 rows without one are judged for quality and mixed like others, and kept by the
 stages that compare documents by id. Empty tables pass through every stage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pitchlake.llm.decontaminate import find_items
 from pitchlake.llm.mixing import WORD, mix_sources
-from pitchlake.llm.near_duplicates import near_duplicates
+from pitchlake.llm.near_duplicates import ChosenPaths, near_duplicates
 from pitchlake.llm.quality import learn_quality, score_quality
 from pitchlake.llm.queries import table, token_rows
 from pitchlake.llm.storage import written
@@ -25,6 +28,24 @@ BROADCAST_BYTES = 64 << 20
 RANKED_ROWS = 4096
 
 
+#: Columns that stages read; others are carried along.
+READ = ("doc_id", "text", "source")
+#: Near duplicates share four fifths of their runs of five words.
+NEAR = ChosenPaths(shingle=5)
+
+
+def _carrying(stage: Callable) -> Callable:
+    """The stage with all columns that it does not read under names of no
+    meaning, so that none of them is taken for one of its own."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = docs.toDF(*[c if c in READ else f"c{i}" for i, c in enumerate(docs.columns)])
+        return stage(spark, plain, sf_dir).toDF(*docs.columns)
+
+    return run
+
+
 def _sent(df: DataFrame, row_bytes: int) -> DataFrame:
     df = written(df, "listed")
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
@@ -36,21 +57,21 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(listed, docs["doc_id"] == F.col("_gone"), "left_anti")
 
 
+@_carrying
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts to be good."""
     model = learn_quality(docs, table(spark, sf_dir, "labels"))
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    text = f"c{docs.columns.index('text')}"
-    scored = score_quality(plain, model, plain.columns, text=text)
-    return scored.where("predicted = 1").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return score_quality(docs, model, docs.columns).where("predicted = 1").select(*docs.columns)
 
 
+@_carrying
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each group of near duplicates. Rows that
     repeat an id stay or go together."""
-    return _without(docs, near_duplicates(docs).where("not kept").select("doc_id"))
+    return _without(docs, near_duplicates(docs, p=NEAR).where("not kept").select("doc_id"))
 
 
+@_carrying
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return _without(docs, find_items(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
@@ -91,6 +112,7 @@ def _with_one_more(rows: DataFrame) -> DataFrame:
     return out
 
 
+@_carrying
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; empty ones are taken never.
 
