@@ -51,17 +51,19 @@ class WordEncoder:
 
     Only for tokenizers that cut at white space and drop it, so that the ids of
     a text are those of its words one after the other; `fits` tells them by
-    their file. A word's ids are kept for the next time it is met, up to a
-    bound in bytes, beyond which all are forgotten at once.
+    their file. A word's ids are kept for the next time it is met, in two
+    halves: as the newer one is full, the older one is forgotten, so that words
+    that come often stay.
     """
 
-    #: Bytes of kept words and ids, and what a word takes beside them.
-    KEPT_BYTES, WORD_BYTES = 24 << 20, 160
+    #: Bytes of the words and ids of a half, and what a word takes beside them.
+    KEPT_BYTES, WORD_BYTES = 32 << 20, 160
     SIMPLE = re.compile(r"([A-Za-z]+)([.,]?)\Z")
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.kept_bytes = 0
         self.marks = {"": []}
         for mark in ".,":
@@ -85,28 +87,28 @@ class WordEncoder:
         )
 
     def word(self, text: str) -> bytes:
-        simple = self.SIMPLE.match(text)
-        if simple:  # letters in one piece, then at most one mark in another
-            ids = [t.id for t in self.tokenizer.model.tokenize(simple[1].lower())]
-            ids = ids + self.marks[simple[2]]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        found = np.array(ids, "<u4").tobytes()
-        self.kept_bytes += len(text) + len(found) + self.WORD_BYTES
+        found = self.older.get(text)
+        if found is None:
+            simple = self.SIMPLE.match(text)
+            if simple:  # letters in one piece, then at most one mark in another
+                ids = [t.id for t in self.tokenizer.model.tokenize(simple[1].lower())]
+                ids = ids + self.marks[simple[2]]
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = np.array(ids, "<u4").tobytes()
+        size = len(text) + len(found) + self.WORD_BYTES
+        if self.kept_bytes + size > self.KEPT_BYTES:
+            self.older, self.kept, self.kept_bytes = self.kept, {}, 0
         self.kept[text] = found
+        self.kept_bytes += size
         return found
 
-    def forget(self) -> None:
-        self.kept, self.kept_bytes = {}, 0
-
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the number of ids of each."""
         lists = pc.split_pattern_regex(pc.fill_null(texts, ""), "[ \t-\r]+")
         words = lists.flatten().dictionary_encode()
-        if self.kept_bytes > self.KEPT_BYTES:
-            self.forget()
-        known, encode = self.kept.get, self.word
-        pieces = [known(w) if w in self.kept else encode(w) for w in words.dictionary.to_pylist()]
+        encode = self.word
+        pieces = [self.kept.get(w) or encode(w) for w in words.dictionary.to_pylist()]
         lengths = np.fromiter((len(p) // 4 for p in pieces), np.int64, len(pieces))
         flat = np.frombuffer(b"".join(pieces), "<u4")
         starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]

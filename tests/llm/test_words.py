@@ -74,4 +74,4 @@ def test_kept_words_are_bounded(monkeypatch):
         ids, lengths = encode.texts(texts)
         want = encode.tokenizer.encode(texts[0].as_py(), add_special_tokens=False).ids
         assert ids[: lengths[0]].tolist() == want and len(ids) == 2 * len(want)
-        assert encode.kept_bytes < 50_000 + 200 * 300
+        assert encode.kept_bytes <= 50_000 and len(encode.older) * encode.WORD_BYTES <= 50_000
