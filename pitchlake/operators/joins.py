@@ -18,10 +18,13 @@ class JoinLimits:
 
     broadcast_bytes: largest measured side that is broadcast.
     rows_per_split: rows of one key that one task may take.
+    sampled_rows: rows that a key of rows_per_split rows has in the sample in
+    which hot keys are looked for, on average.
     """
 
     broadcast_bytes: int = 64 << 20
     rows_per_split: int = 2_000_000
+    sampled_rows: int = 64
 
 
 DEFAULT_LIMITS = JoinLimits()
@@ -60,15 +63,62 @@ def _has_null(keys: Sequence[str]) -> Column:
     return missing
 
 
+def _candidates(narrow: DataFrame, named: dict[str, list[str]], limits: JoinLimits) -> dict[str, DataFrame] | None:
+    """Keys that may be hot, for each set of columns that has any: those with a
+    quarter of the rows in a random sample that a key at the limit has there. A
+    key beyond the limit is missed with a chance below 1e-9 (64 rows expected,
+    15 or fewer seen: 2e-13), which would cost its split and no row. None where
+    the whole table is the sample."""
+    fraction = limits.sampled_rows / limits.rows_per_split
+    if fraction >= 1:
+        return None
+    flat = [column for columns in named.values() for column in columns]
+    sets = [[F.col(f"`{column}`") for column in columns] for columns in named.values()]
+    sampled = narrow.sample(fraction, seed=1).groupingSets(sets, *[F.col(f"`{column}`") for column in flat])
+    counted = sampled.agg(F.grouping_id().alias("set"), F.count("*").alias("n"))
+    often = counted.where(F.col("n") >= max(1, limits.sampled_rows // 4)).drop("n")
+    if often.isEmpty():  # the ordinary case: one pass over the keys, next to nothing shuffled
+        return {}
+    often = settle(often)
+    found = {}
+    for name, columns in named.items():
+        own = often.where(F.col("set") == _grouping(flat, columns)).select(*[F.col(f"`{c}`") for c in columns])
+        if not own.isEmpty():
+            found[name] = F.broadcast(own) if measured_bytes(own) <= limits.broadcast_bytes else own
+    return found
+
+
+def _grouping(flat: Sequence[str], columns: Sequence[str]) -> int:
+    """Grouping id of a set: its bits stand for the columns that are not in it."""
+    return int("".join("0" if column in columns else "1" for column in flat), 2)
+
+
+def _only_candidates(narrow: DataFrame, named: dict[str, list[str]], found: dict[str, DataFrame]) -> DataFrame:
+    """Rows with a candidate of any set, and for each set whether it is one of its."""
+    for name, table in found.items():
+        columns = named[name]
+        side = table.select(*[F.col(f"`{c}`").alias(f"{c}'") for c in columns], F.lit(True).alias(f"{name}?"))
+        same = F.lit(True)
+        for c in columns:
+            same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"`{c}'`"))
+        kept = [F.col(f"`{c}`") for c in narrow.columns]
+        narrow = narrow.join(side, same, "left").select(*kept, F.coalesce(F.col(f"`{name}?`"), F.lit(False)).alias(f"{name}?"))
+    any_ = F.lit(False)
+    for name in found:
+        any_ = any_ | F.col(f"`{name}?`")
+    return narrow.where(any_)
+
+
 def hot_keys_by(
     df: DataFrame, key_sets: dict[str, Sequence[str]], limits: JoinLimits = DEFAULT_LIMITS
 ) -> dict[str, HotKeys]:
     """Every key with more than rows_per_split rows, for several joins of one
-    table, in one pass over it. Rows are counted per key, within each task first;
-    only hot keys are kept, as a settled table. Rows with a NULL in their key are
+    table. Candidates come from a random sample of the rows; where there are
+    any, a second pass counts their rows exactly, within each task first. With a
+    limit so low that the sample would be the table, all keys are counted. Only
+    hot keys are kept, as a settled table. Rows with a NULL in their key are
     counted together."""
     named = {name: [f"{name}.{key}" for key in keys] for name, keys in key_sets.items()}
-    flat = [column for columns in named.values() for column in columns]
     narrow = df.select(
         *[
             F.when(~_has_null(keys), F.col(key)).alias(column)
@@ -76,20 +126,35 @@ def hot_keys_by(
             for key, column in zip(keys, named[name], strict=True)
         ]
     )
-    sets = [[F.col(f"`{column}`") for column in columns] for columns in named.values()]
-    counted = narrow.groupingSets(sets, *[F.col(f"`{column}`") for column in flat]).agg(
+    likely = _candidates(narrow, named, limits)
+    if likely is None:
+        marked = {name: [] for name in named}
+    else:
+        if not likely:
+            return dict.fromkeys(key_sets, NO_HOT_KEYS)
+        narrow = _only_candidates(narrow, named, likely)
+        marked = {name: [f"{name}?"] for name in likely}
+    in_set = {name: [*named[name], *marks] for name, marks in marked.items()}
+    grouped = [column for columns in in_set.values() for column in columns]
+    sets = [[F.col(f"`{column}`") for column in columns] for columns in in_set.values()]
+    counted = narrow.groupingSets(sets, *[F.col(f"`{column}`") for column in grouped]).agg(
         F.grouping_id().alias("set"), F.count("*").alias("n")
     )
+    own_rows = F.lit(True)
+    for marks in marked.values():
+        for mark in marks:  # false in its own set: rows of other sets' candidates
+            own_rows = own_rows & F.coalesce(F.col(f"`{mark}`"), F.lit(True))
     parts = F.ceil(F.col("n") / limits.rows_per_split).cast("int").alias("parts")
-    hot = counted.where(F.col("n") > limits.rows_per_split)
-    found = settle(hot.select(*[f"`{column}`" for column in flat], "set", parts))
+    hot = counted.where(F.col("n") > limits.rows_per_split).where(own_rows)
+    keys_of = [column for name in in_set for column in named[name]]
+    found = settle(hot.select(*[f"`{column}`" for column in keys_of], "set", parts))
     if found.isEmpty():
         return dict.fromkeys(key_sets, NO_HOT_KEYS)
 
     def of_set(name: str, keys: Sequence[str]) -> HotKeys:
-        # The bits of a grouping id stand for the columns that are not in the set.
-        bits = ["0" if column in named[name] else "1" for column in flat]
-        own = found.where(F.col("set") == int("".join(bits), 2)).select(
+        if name not in in_set:
+            return NO_HOT_KEYS
+        own = found.where(F.col("set") == _grouping(grouped, in_set[name])).select(
             *[F.col(f"`{column}`").alias(key) for column, key in zip(named[name], keys, strict=True)], "parts"
         )
         nulls = own.where(_has_null(keys)).first()  # one row at most

@@ -168,3 +168,33 @@ def test_pitch_keys_are_counted_once(monkeypatch, sources):
     pitch_fact(sources, limits=TINY)
     assert len(passes) == 4  # pitches, log, trace, players
     assert sorted(map(len, passes)) == [4, 4, 4, 14]
+
+
+def test_hot_keys_are_found_from_a_sample_and_counted_exactly(spark):
+    """Keys beyond the limit, near it and far below, and rows without a key."""
+    sizes = {**{k: 4_001 + k for k in range(40)}, **{k: 1_500 for k in range(40, 60)}, **{k: 30 for k in range(60, 900)}, 900: 2_000}
+    listed = spark.createDataFrame(list(sizes.items()), "k int, n int")
+    keys = listed.select("k", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
+    keys = keys.unionAll(spark.range(9_000).select(F.lit(None).cast("int"), F.lit(0).cast("int")))
+    limits = JoinLimits(rows_per_split=2_000)
+    hot = find_hot_keys({"l": (keys, ["k"])}, limits)["l"]
+    assert rows(hot.table) == Counter({(k, -(-n // 2_000)): 1 for k, n in sizes.items() if n > 2_000})
+    assert hot.null_parts == 5
+    assert not find_hot_keys({"l": (keys, ["k"])}, JoinLimits(rows_per_split=20_000))["l"]
+
+
+def test_hot_keys_of_several_joins_from_one_sample(spark):
+    from pitchlake.operators.joins import hot_keys_by
+
+    both = spark.range(30_000).select((F.col("id") % 5).alias("a"), (F.col("id") % 29_000).alias("b"), F.lit("x").alias("c"))
+    found = hot_keys_by(both, {"a": ["a"], "b": ["b"], "ab": ["a", "b"], "ca": ["c", "a"]}, JoinLimits(rows_per_split=1_000))
+    assert rows(found["a"].table) == Counter({(k, 6): 1 for k in range(5)})
+    assert rows(found["ca"].table) == Counter({("x", k, 6): 1 for k in range(5)})
+    assert not found["b"] and not found["ab"]
+
+
+def test_sample_of_cold_keys_counts_nothing_exactly(monkeypatch, spark):
+    from pitchlake.operators import joins
+
+    monkeypatch.setattr(joins, "settle", lambda df: pytest.fail("no key is likely to be hot"))
+    assert not find_hot_keys({"l": (spark.range(50_000).toDF("k"), ["k"])})["l"]
