@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pitchlake.schema import OUTPUT_COLUMNS
 from pitchlake.sources.readers import Sources, TableNames
 
 PARTITIONS = ["level", "game_year"]
+VERSION = "version"
 PITCH_ORDER = ["gameid", "pitchno"]
 
 
@@ -18,32 +21,104 @@ def published(rows: DataFrame) -> DataFrame:
     return rows.select(*[f"`{name}`" for name in OUTPUT_COLUMNS])
 
 
-def write_fact(rows: DataFrame, path: str, levels: Sequence[str]) -> None:
+@dataclass(frozen=True)
+class Release:
+    """What is published in a folder: a number, and the version that holds each
+    league's rows, by its level in lower case."""
+
+    number: int = 0
+    versions: dict[str, str] = field(default_factory=dict)
+
+
+class Releases:
+    """The releases of a published fact, one small file each below `_releases`.
+    The highest number counts. A file appears by one rename, so a reader sees
+    the release before or the one after, never a part of one."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.root = path.rstrip("/")
+        self._as_path = spark._jvm.org.apache.hadoop.fs.Path
+        self._files = self._as_path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._charset = spark._jvm.java.nio.charset.StandardCharsets.UTF_8
+        self._read = spark._jvm.org.apache.commons.io.IOUtils.toString
+
+    def _names(self, folder: str) -> list[str]:
+        target = self._as_path(f"{self.root}/{folder}")
+        return [f.getPath().getName() for f in self._files.listStatus(target)] if self._files.exists(target) else []
+
+    def numbers(self) -> list[int]:
+        return sorted(int(name) for name in self._names("_releases") if name.isdigit())
+
+    def read(self, number: int) -> Release:
+        stream = self._files.open(self._as_path(f"{self.root}/_releases/{number}"))
+        try:
+            return Release(number, json.loads(self._read(stream, self._charset)))
+        finally:
+            stream.close()
+
+    def current(self) -> Release:
+        numbers = self.numbers()
+        return self.read(numbers[-1]) if numbers else Release()
+
+    def publish(self, release: Release) -> None:
+        """Make a release the current one; fails if its number is taken."""
+        draft = self._as_path(f"{self.root}/_releases/_draft-{uuid.uuid4().hex}")
+        target = self._as_path(f"{self.root}/_releases/{release.number}")
+        out = self._files.create(draft)
+        try:
+            out.write(bytearray(json.dumps(release.versions, sort_keys=True).encode()))
+        finally:
+            out.close()
+        if self._files.exists(target) or not self._files.rename(draft, target):
+            self._files.delete(draft, False)
+            raise OSError(f"release {release.number} of {self.root} is there already: two jobs publish at once")
+
+    def clean(self, kept: int) -> None:
+        """Delete older releases and every version that no release left names."""
+        numbers = self.numbers()
+        named = {v for n in numbers[-kept:] for v in self.read(n).versions.values()}
+        for number in numbers[:-kept]:
+            self._files.delete(self._as_path(f"{self.root}/_releases/{number}"), False)
+        for level in self._names(""):
+            for version in self._names(level) if level.startswith("level=") else ():
+                if version.startswith("version=") and version.removeprefix("version=") not in named:
+                    self._files.delete(self._as_path(f"{self.root}/{level}/{version}"), True)
+
+
+def write_fact(rows: DataFrame, path: str, levels: Sequence[str], kept_releases: int = 2) -> None:
     """Write derived rows (see `plans.fact.pitch_rows`) of the given levels, in
     game and pitch order, in place of what is there of these levels.
 
     Rows are rebalanced by league and season: adaptive execution cuts a large
     season into many even files and puts small ones together, so a season never
-    lands in one task. The order holds within each file. The rows are first
-    written beside the published ones, whole; then the folders of the levels are
-    exchanged, so that seasons that vanished go and other levels stay untouched.
+    lands in one task. The order holds within each file. A run writes a version
+    of its own below each level; nothing reads it until the next release names
+    it. So seasons that vanished go, other levels stay, and a run that dies at
+    any step leaves the release before whole. The release before stays on disk
+    for those who are reading it; versions that no release names go, those of
+    dead runs too. One job publishes into a folder at a time.
     """
+    releases = Releases(rows.sparkSession, path)
+    before = releases.current()
+    version = f"v{before.number + 1}-{uuid.uuid4().hex}"
     ordered = rows.hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, *PITCH_ORDER)
-    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    published(ordered).write.partitionBy(*PARTITIONS).parquet(staging)
-    spark = rows.sparkSession
-    as_path = spark._jvm.org.apache.hadoop.fs.Path
-    files = as_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for level in levels:
-        old, new = as_path(f"{path.rstrip('/')}/level={level}"), as_path(f"{staging}/level={level}")
-        files.delete(old, True)
-        if files.exists(new) and not files.rename(new, old):
-            raise OSError(f"{new} could not be moved to {old}")
-    files.delete(as_path(staging), True)
+    stamped = published(ordered).withColumn(VERSION, F.lit(version))
+    stamped.write.mode("append").partitionBy("level", VERSION, "game_year").parquet(releases.root)
+    versions = before.versions | {level.lower(): version for level in levels}
+    releases.publish(Release(before.number + 1, versions))
+    releases.clean(kept_releases)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return published(spark.read.parquet(path))
+    """The current release. Levels and versions are folders, so nothing of other
+    versions is opened."""
+    release = Releases(spark, path).current()
+    if not release.versions:
+        raise FileNotFoundError(f"nothing is published in {path}")
+    current = F.lit(False)
+    for level, version in release.versions.items():
+        current = current | ((F.lower("level") == level) & (F.col(VERSION) == version))
+    return published(spark.read.parquet(path).where(current))
 
 
 def land_sources(sources: Sources, folder: str, names: TableNames = TableNames()) -> None:
