@@ -10,7 +10,7 @@ from checks.fixtures import sources as fixture_sources
 from pitchlake import leagues as lg, schema
 from pitchlake.functions import dates, flags, pitches, plays, strike_zone, units
 from pitchlake.operators import arm_slot, joins, pitch_joins, players
-from pitchlake.plans import extract as ex, fact
+from pitchlake.plans import arms, extract as ex, fact
 from pitchlake.session import scratch_path
 from pitchlake.sources import Sources, read_fact
 
@@ -99,7 +99,7 @@ def _extracted(s: Sources) -> DataFrame:
 
 
 def _heights(s: Sources) -> DataFrame:
-    return arm_slot.release_heights(_extracted(s))
+    return arm_slot.release_heights(arms.weighed_pitches(s))
 
 
 def _roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,12 +184,12 @@ def queries() -> dict[str, Query]:
         "agg_release_height": _over(
             lambda s: _heights(s).select("league", "pitcher", "mean_rel_height")
         ),
-        "agg_side_arm_pitchers": _over(lambda s: arm_slot.side_arm_pitchers(_extracted(s))),
+        "agg_side_arm_pitchers": _over(lambda s: arm_slot.side_arm_pitchers(arms.weighed_pitches(s))),
         "agg_pitcher_hand": _over(
-            lambda s: arm_slot.pitcher_arms(_extracted(s)).drop("side_arm")
+            lambda s: arm_slot.pitcher_arms(arms.weighed_pitches(s)).drop("side_arm")
         ),
         "pitcher_arm_slot": _over(
-            lambda s: arm_slot.add_arm_slot(_extracted(s)).select(
+            lambda s: arm_slot.add_arm_slot(_extracted(s), counted=arms.weighed_pitches(s)).select(
                 *KEY, "level", "pitcher", "p_type", "p_throws"
             )
         ),

@@ -137,6 +137,11 @@ def stage(joined: DataFrame, date_type: T.DataType) -> DataFrame:
     return named.select(*KEPT, *[column.alias(name) for name, column in columns.items()])
 
 
+def numeric_id(text: Column) -> Column:
+    """Id as a number; empty text is no id, other text is an error."""
+    return F.nullif(F.trim(text), F.lit("")).cast("long")
+
+
 def wanted_pitches(sources: Sources, leagues: tuple[League, ...] = LEAGUES) -> DataFrame:
     return sources.pitches.where(leagues_extract(leagues))
 
@@ -150,19 +155,29 @@ def of_games(pitches_: DataFrame, sides: list[DataFrame], limits: JoinLimits) ->
     return [side.join(games, "game_seq", "left_semi") for side in sides]
 
 
+def wanted_sides(
+    sources: Sources, leagues: tuple[League, ...] = LEAGUES, limits: JoinLimits = DEFAULT_LIMITS
+) -> tuple[DataFrame, DataFrame]:
+    """Log and trace. A run of some leagues cuts them down to their games before
+    they are shuffled; a run of all leagues wants nearly every game and leaves
+    them."""
+    if len(leagues) == len(LEAGUES):
+        return sources.pitch_log, sources.trace
+    log, trace = of_games(wanted_pitches(sources, leagues), [sources.pitch_log, sources.trace], limits)
+    return log, trace
+
+
 def extract(
     sources: Sources,
     leagues: tuple[League, ...] = LEAGUES,
     limits: JoinLimits = DEFAULT_LIMITS,
     hot: dict[str, HotKeys] | None = None,
+    sides: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Staged pitches of the leagues. The filter sits on the pitch table, below
-    both joins, so it reaches the scan. A run of some leagues also cuts log and
-    trace down to their games before they are shuffled; a run of all leagues
-    wants nearly every game and leaves them."""
+    both joins, so it reaches the scan. `sides` gives log and trace where the
+    caller has cut them already."""
     wanted = wanted_pitches(sources, leagues)
-    log, trace = sources.pitch_log, sources.trace
-    if len(leagues) < len(LEAGUES):
-        log, trace = of_games(wanted, [log, trace], limits)
+    log, trace = sides or wanted_sides(sources, leagues, limits)
     joined = join_pitch_tables(pack_pitches(wanted), log, pack_trace(trace), limits, hot)
     return stage(joined, sources.pitches.schema["date"].dataType)

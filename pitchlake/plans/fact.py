@@ -16,16 +16,12 @@ from pitchlake.operators.joins import (
 )
 from pitchlake.operators.pitch_joins import PITCH_KEYS
 from pitchlake.operators.players import ROLES, add_players, player_dimension
-from pitchlake.plans.extract import extract, unpack, wanted_pitches
+from pitchlake.plans.arms import weighed_pitches
+from pitchlake.plans.extract import extract, numeric_id, unpack, wanted_pitches, wanted_sides
 from pitchlake.sources import Sources
 from pitchlake.sources.sinks import published, write_fact
 
 
-def numeric_id(text: Column) -> Column:
-    """Id as a number; empty text is no id, other text is an error."""
-    return F.nullif(F.trim(text), F.lit("")).cast("long")
-
-
 def with_numeric_ids(staged: DataFrame) -> DataFrame:
     return staged.withColumns(
         {
@@ -122,13 +118,16 @@ def pitch_rows(
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Derived rows: the published columns plus the game id and pitch number that
-    order them. Arm slots are taken before unclassified pitches are dropped, as
-    those pitches count in a pitcher's mean."""
+    order them. Arm slots are taken from the pitch table, before any join and
+    before unclassified pitches are dropped, as those pitches count in a
+    pitcher's mean; the wide tables are joined once."""
     size = measured_bytes(player_dimension(sources.players))
     hot = pitch_hot_keys(wanted_pitches(sources, leagues), size, limits)
-    extracted = extract(sources, leagues, limits, hot)
+    sides = wanted_sides(sources, leagues, limits)
+    extracted = extract(sources, leagues, limits, hot, sides)
     named = add_players(extracted, sources.players, limits=limits, size=size, hot=hot)
-    slotted = add_arm_slot(with_numeric_ids(named), limits, hot.get("arm"))
+    counted = weighed_pitches(sources, leagues, limits, sides, hot)
+    slotted = add_arm_slot(with_numeric_ids(named), limits, hot.get("arm"), counted)
     measured = slotted.withColumns(units.metric_columns())
     return unpack(classified_only(with_flags(with_zones(measured))))
 
