@@ -6,8 +6,9 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pitchlake.schema import OUTPUT_COLUMNS
 from pitchlake.sources.readers import Sources, TableNames
@@ -23,11 +24,12 @@ def published(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Release:
-    """What is published in a folder: a number, and the version that holds each
-    league's rows, by its level in lower case."""
+    """What is published in a folder: a number, the version that holds each
+    league's rows, by its level in lower case, and the schema of all."""
 
     number: int = 0
     versions: dict[str, str] = field(default_factory=dict)
+    schema: str = ""
 
 
 class Releases:
@@ -52,7 +54,7 @@ class Releases:
     def read(self, number: int) -> Release:
         stream = self._files.open(self._as_path(f"{self.root}/_releases/{number}"))
         try:
-            return Release(number, json.loads(self._read(stream, self._charset)))
+            return Release(number, **json.loads(self._read(stream, self._charset)))
         finally:
             stream.close()
 
@@ -66,23 +68,34 @@ class Releases:
         target = self._as_path(f"{self.root}/_releases/{release.number}")
         out = self._files.create(draft)
         try:
-            out.write(bytearray(json.dumps(release.versions, sort_keys=True).encode()))
+            out.write(bytearray(json.dumps({"versions": release.versions, "schema": release.schema}).encode()))
         finally:
             out.close()
         if self._files.exists(target) or not self._files.rename(draft, target):
             self._files.delete(draft, False)
             raise OSError(f"release {release.number} of {self.root} is there already: two jobs publish at once")
 
+    def _levels(self) -> dict[str, str]:
+        """Folders of the levels, and the level of each in lower case."""
+        return {n: unquote(n.removeprefix("level=")).lower() for n in self._names("") if n.startswith("level=")}
+
+    def folders(self, release: Release) -> list[str]:
+        """The folders that hold a release; none of a league without rows."""
+        wanted = {f: f"{VERSION}={release.versions.get(level)}" for f, level in self._levels().items()}
+        return [f"{self.root}/{f}/{version}" for f, version in wanted.items() if version in self._names(f)]
+
     def clean(self, kept: int) -> None:
-        """Delete older releases and every version that no release left names."""
+        """Delete older releases and all that no release left names, in the
+        folders of the levels that are published."""
         numbers = self.numbers()
-        named = {v for n in numbers[-kept:] for v in self.read(n).versions.values()}
+        left = [self.read(n) for n in numbers[-kept:]]
         for number in numbers[:-kept]:
             self._files.delete(self._as_path(f"{self.root}/_releases/{number}"), False)
-        for level in self._names(""):
-            for version in self._names(level) if level.startswith("level=") else ():
-                if version.startswith("version=") and version.removeprefix("version=") not in named:
-                    self._files.delete(self._as_path(f"{self.root}/{level}/{version}"), True)
+        for folder, level in self._levels().items():
+            named = {f"{VERSION}={r.versions[level]}" for r in left if level in r.versions}
+            for name in self._names(folder) if named else ():
+                if name not in named:
+                    self._files.delete(self._as_path(f"{self.root}/{folder}/{name}"), True)
 
 
 def write_fact(rows: DataFrame, path: str, levels: Sequence[str], kept_releases: int = 2) -> None:
@@ -95,8 +108,8 @@ def write_fact(rows: DataFrame, path: str, levels: Sequence[str], kept_releases:
     of its own below each level; nothing reads it until the next release names
     it. So seasons that vanished go, other levels stay, and a run that dies at
     any step leaves the release before whole. The release before stays on disk
-    for those who are reading it; versions that no release names go, those of
-    dead runs too. One job publishes into a folder at a time.
+    for those who are reading it; all else below the published levels goes, what
+    dead runs left too. One job publishes into a folder at a time.
     """
     releases = Releases(rows.sparkSession, path)
     before = releases.current()
@@ -105,20 +118,22 @@ def write_fact(rows: DataFrame, path: str, levels: Sequence[str], kept_releases:
     stamped = published(ordered).withColumn(VERSION, F.lit(version))
     stamped.write.mode("append").partitionBy("level", VERSION, "game_year").parquet(releases.root)
     versions = before.versions | {level.lower(): version for level in levels}
-    releases.publish(Release(before.number + 1, versions))
+    releases.publish(Release(before.number + 1, versions, stamped.schema.json()))
     releases.clean(kept_releases)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """The current release. Levels and versions are folders, so nothing of other
-    versions is opened."""
-    release = Releases(spark, path).current()
+    """The current release. Its versions are folders; no others are listed or
+    opened."""
+    releases = Releases(spark, path)
+    release = releases.current()
     if not release.versions:
         raise FileNotFoundError(f"nothing is published in {path}")
-    current = F.lit(False)
-    for level, version in release.versions.items():
-        current = current | ((F.lower("level") == level) & (F.col(VERSION) == version))
-    return published(spark.read.parquet(path).where(current))
+    shape = T.StructType.fromJson(json.loads(release.schema))
+    folders = releases.folders(release)
+    if not folders:
+        return published(spark.createDataFrame([], shape))
+    return published(spark.read.schema(shape).option("basePath", releases.root).parquet(*folders))
 
 
 def land_sources(sources: Sources, folder: str, names: TableNames = TableNames()) -> None:
