@@ -31,8 +31,9 @@ URL_RULES = [
 ]
 
 
-#: Worker processes live as long as their executor. By these settings of the C
-#: library and of Arrow, blocks of a megabyte or more are not kept once freed.
+#: Worker processes live as long as their executor and go from stage to stage.
+#: By these settings of the C library and of Arrow, blocks of a megabyte or more
+#: are not kept once freed, which costs up to twice the time of a stage.
 WORKER_MEMORY = {
     "ARROW_DEFAULT_MEMORY_POOL": "system",
     "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
@@ -41,10 +42,15 @@ WORKER_MEMORY = {
 }
 
 
+def keep_workers_small(spark: SparkSession) -> None:
+    """For chains of many stages: workers started from now on give memory back."""
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, hand
-    texts over in smaller batches than Spark's own, which are for short rows,
-    and let workers give large arrays back to the system as they are freed."""
+    """Let Python workers import this package from where the driver has it, and
+    hand texts over in smaller batches than Spark's own, which are for short rows."""
     for batch, given, wanted in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "8m")):
         if spark.conf.get(f"spark.sql.execution.arrow.{batch}") == given:
             spark.conf.set(f"spark.sql.execution.arrow.{batch}", wanted)
@@ -53,8 +59,6 @@ def prepare(spark: SparkSession) -> None:
     known = environment.get("PYTHONPATH", "").split(":")
     if root not in known:
         environment["PYTHONPATH"] = ":".join([root, *filter(None, known)])
-    for name, value in WORKER_MEMORY.items():
-        environment.setdefault(name, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
