@@ -19,7 +19,7 @@ from pitchlake.llm.decontaminate import find_items
 from pitchlake.llm.mixing import WORD, mix_sources
 from pitchlake.llm.near_duplicates import ChosenPaths, near_duplicates
 from pitchlake.llm.quality import learn_quality, score_quality
-from pitchlake.llm.queries import table, token_rows
+from pitchlake.llm.queries import keep_workers_small, table, token_rows
 from pitchlake.llm.storage import written
 
 #: Largest list of ids that is sent to all tasks; larger ones are shuffled.
@@ -40,6 +40,7 @@ def _carrying(stage: Callable) -> Callable:
 
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        keep_workers_small(spark)
         plain = docs.toDF(*[c if c in READ else f"c{i}" for i, c in enumerate(docs.columns)])
         return stage(spark, plain, sf_dir).toDF(*docs.columns)
 
@@ -152,6 +153,7 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents in shards, and what they hold, read back."""
+    keep_workers_small(spark)
     return token_rows(docs)
 
 
