@@ -51,19 +51,18 @@ class WordEncoder:
 
     Only for tokenizers that cut at white space and drop it, so that the ids of
     a text are those of its words one after the other; `fits` tells them by
-    their file. A word's ids are kept for the next time it is met, in two
-    halves: as the newer one is full, the older one is forgotten, so that words
-    that come often stay.
+    their file. A word's ids are kept for the next time it is met; words that
+    come often are among the first and stay.
     """
 
-    #: Bytes of the words and ids of a half, and what a word takes beside them.
-    KEPT_BYTES, WORD_BYTES = 32 << 20, 160
+    #: Bytes of all kept words and ids, beyond which new words are encoded each
+    #: time they come up, and what a word takes beside them.
+    KEPT_BYTES, WORD_BYTES = 48 << 20, 100
     SIMPLE = re.compile(r"([A-Za-z]+)([.,]?)\Z")
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
         self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         self.kept_bytes = 0
         self.marks = {"": []}
         for mark in ".,":
@@ -87,20 +86,17 @@ class WordEncoder:
         )
 
     def word(self, text: str) -> bytes:
-        found = self.older.get(text)
-        if found is None:
-            simple = self.SIMPLE.match(text)
-            if simple:  # letters in one piece, then at most one mark in another
-                ids = [t.id for t in self.tokenizer.model.tokenize(simple[1].lower())]
-                ids = ids + self.marks[simple[2]]
-            else:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = np.array(ids, "<u4").tobytes()
+        simple = self.SIMPLE.match(text)
+        if simple:  # letters in one piece, then at most one mark in another
+            ids = [t.id for t in self.tokenizer.model.tokenize(simple[1].lower())]
+            ids = ids + self.marks[simple[2]]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        found = np.array(ids, "<u4").tobytes()
         size = len(text) + len(found) + self.WORD_BYTES
-        if self.kept_bytes + size > self.KEPT_BYTES:
-            self.older, self.kept, self.kept_bytes = self.kept, {}, 0
-        self.kept[text] = found
-        self.kept_bytes += size
+        if self.kept_bytes + size <= self.KEPT_BYTES:
+            self.kept[text] = found
+            self.kept_bytes += size
         return found
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

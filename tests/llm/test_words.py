@@ -67,11 +67,11 @@ def test_workers_do_not_grow_with_the_slices_they_hash():
 
 
 def test_kept_words_are_bounded(monkeypatch):
-    encode = encoder(queries.tokenizer_file())
+    encode = encoder.__wrapped__(queries.tokenizer_file())
     monkeypatch.setattr(type(encode), "KEPT_BYTES", 50_000)
     for k in range(30):
         texts = pa.array([" ".join(f"word{k}x{i}" for i in range(200))] * 2)
         ids, lengths = encode.texts(texts)
         want = encode.tokenizer.encode(texts[0].as_py(), add_special_tokens=False).ids
         assert ids[: lengths[0]].tolist() == want and len(ids) == 2 * len(want)
-        assert encode.kept_bytes <= 50_000 and len(encode.older) * encode.WORD_BYTES <= 50_000
+        assert encode.kept_bytes <= 50_000 and len(encode.kept) * encode.WORD_BYTES <= 50_000
