@@ -9,7 +9,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .components import connected_components
 from .storage import written
@@ -61,13 +61,23 @@ def possible_pairs(a: Quantised, b: Quantised, threshold: float) -> np.ndarray:
     kind = np.float32 if a.steps.shape[1] <= 1040 else np.float64
     product = a.steps.astype(kind) @ b.steps.astype(kind).T
     product *= b.scale.astype(kind)
-    f, y = b.error.max(), b.length.max()
-    bound = a.length * f + a.error * y + a.error * f
-    least = (threshold - bound) / a.scale
-    least -= 1e-6 * np.abs(least) + 1e-6
+    # The bound of each pair, from the errors and lengths of its own two vectors.
+    product += np.stack([a.length / a.scale, a.error / a.scale], 1).astype(kind) @ np.stack([b.error, b.length + b.error]).astype(kind)
+    most = a.length * b.error.max() + a.error * (b.length + b.error).max()
+    # Less what single precision may round off the terms, each at most this large.
+    least = (threshold - 1e-6 * (abs(threshold) + 2 * most)) / a.scale - 1e-6
     return product >= least.astype(kind)[:, None]
 
 
+def unpacked(vectors: bytes, kind: str, dim: int) -> np.ndarray:
+    """Packed vectors in double precision. Those that were given in it are divided
+    by a power of two, which rounds nothing, so that no square overflows."""
+    x = np.frombuffer(vectors, kind).reshape(-1, dim).astype(np.float64)
+    if kind == "<f8":
+        x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
+    return x
+
+
 def cosines(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     out = np.empty(len(i))
@@ -90,7 +100,7 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def _link_tile(threshold: float, tiles: Tiles):
+def _link_tile(threshold: float, tiles: Tiles, kind: str):
     """Links between two blocks, or within one: for each vector how many it has,
     and enough of them to connect what they connect."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
@@ -100,10 +110,7 @@ def _link_tile(threshold: float, tiles: Tiles):
             for r in batch.to_pylist():
                 a_ids, b_ids = (np.frombuffer(r[f"{s}_ids"], np.int64) for s in "ab")
                 a_n, b_n = (np.frombuffer(r[f"{s}_copies"], np.int64) for s in "ab")
-                x, y = (
-                    np.frombuffer(r[f"{s}_vectors"], np.float32).reshape(-1, r["dim"]).astype(np.float64)
-                    for s in "ab"
-                )
+                x, y = (unpacked(r[f"{s}_vectors"], kind, r["dim"]) for s in "ab")
                 own, other = quantise(x), quantise(y)
                 same = r["a_block"] == r["b_block"]
                 links_b = np.zeros(len(b_ids), np.int64)
@@ -151,6 +158,7 @@ def link_vectors(
 
     Null, empty and zero vectors and those with null or non-finite components
     link with nothing, and vectors link only with those of their dimension.
+    Components in single precision are kept so, all other numbers are doubles.
     Equal vectors are compared once and counted as often as they occur. Rows of
     a null vec_id are answered (no links, component null, kept) but link with
     nothing; rows that repeat a vec_id count as vectors of their own.
@@ -159,13 +167,13 @@ def link_vectors(
     meets in one tile, of a fixed size. A tile gives numbers of links and a
     spanning forest, never a list of pairs.
     """
-    v = F.col(embedding)
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    single = isinstance(vectors.schema[embedding].dataType.elementType, T.FloatType)
+    kind = "<f4" if single else "<f8"
+    v = F.col(embedding).cast("array<float>" if single else "array<double>")
     infinite = F.lit(float("inf"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < infinite))
-    rows = vectors.select(F.col(vec_id).alias("id"), v.cast("array<float>").alias("v"), (norm).alias("norm"), finite.alias("finite"))
-    valid = F.coalesce(F.col("finite") & (F.col("norm") > 0) & (F.col("norm") < infinite) & F.col("id").isNotNull(), F.lit(False))
-    rows = rows.select("id", F.when(valid, F.col("v")).alias("v"))
+    valid = F.coalesce(finite & F.exists(v, lambda x: x != 0) & F.col(vec_id).isNotNull(), F.lit(False))
+    rows = vectors.select(F.col(vec_id).alias("id"), F.when(valid, v).alias("v"))
     classes = written(
         rows.where("v is not null").groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("copies")),
         "vectors",
@@ -177,7 +185,7 @@ def link_vectors(
     )
 
     def pack(group: pa.Table) -> pa.Table:
-        flat = group["v"].combine_chunks().flatten().to_numpy().astype(np.float32)
+        flat = group["v"].combine_chunks().flatten().to_numpy().astype(kind)
         return pa.table(
             {
                 "dim": pa.array([group["dim"][0].as_py()], pa.int32()),
@@ -204,7 +212,7 @@ def link_vectors(
     others = blocks.select("dim", *[F.col(c).alias(f"b_{c}") for c in names])
     n_tiles = sum(k * (k + 1) // 2 for k in (ceil(n / tiles.vectors) for n in counts.values()))
     met = ones.join(others.hint("shuffle_hash"), ["dim", "b_block"]).repartition(max(1, n_tiles))
-    links = written(met.mapInArrow(_link_tile(threshold, tiles), "a long, b long, n long"), "links")
+    links = written(met.mapInArrow(_link_tile(threshold, tiles, kind), "a long, b long, n long"), "links")
     numbers = links.where("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     roots = connected_components(links.where("a != b"), "a", "b")
     answer = (
