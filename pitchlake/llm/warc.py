@@ -144,9 +144,13 @@ class _Source:
             self.at = to
 
 
+class DamagedArchive(ValueError):
+    """Bytes of an archive that are no whole records."""
+
+
 def _member(source: _Source, start: int) -> tuple[bytes, int] | None:
-    """Content and end of the gzip member at a place; None if what lies there is
-    no whole member with a WARC record in it."""
+    """Content and end of the gzip member at a place; None if no WARC record
+    begins there. Raises where one begins and does not go on whole."""
     unpack = zlib.decompressobj(31)
     content, at = [], start
     try:
@@ -154,14 +158,33 @@ def _member(source: _Source, start: int) -> tuple[bytes, int] | None:
             source.upto(at + 65536)
             piece = source.held[at - source.at : at - source.at + 65536]
             if not piece:
+                if content:
+                    raise DamagedArchive(f"the record at byte {start} is cut off")
                 return None
             content.append(unpack.decompress(piece))
             at += len(piece)
             if len(content) == 1 and not content[0].startswith(b"WARC/1."):
                 return None
+    except zlib.error as error:
+        if content:
+            raise DamagedArchive(f"the record at byte {start} does not decode: {error}") from error
+        return None if _head(source, start) is None else _damaged(start)
+    return b"".join(content), at - len(unpack.unused_data)
+
+
+def _damaged(start: int):
+    raise DamagedArchive(f"the record at byte {start} does not decode")
+
+
+def _head(source: _Source, start: int) -> bytes | None:
+    """The first bytes of the WARC record at a place, if one begins there."""
+    source.upto(start + 65536)
+    unpack = zlib.decompressobj(31)
+    try:
+        head = unpack.decompress(source.held[start - source.at : start - source.at + 65536], len(b"WARC/1."))
     except zlib.error:
         return None
-    return b"".join(content), at - len(unpack.unused_data)
+    return head if head == b"WARC/1." else None
 
 
 def _parse(content: bytes) -> dict | None:
@@ -179,8 +202,14 @@ def _parse(content: bytes) -> dict | None:
 
 def records_in(file, size: int, start: int, end: int) -> Iterator[dict]:
     """Records that start in a range of bytes of a file. The range may begin
-    anywhere: places of the gzip magic are tried until one decodes to a record;
-    from there members follow one another."""
+    anywhere: places of the gzip magic are tried until one decodes to the head of
+    a record; from there members follow one another.
+
+    Raises DamagedArchive where bytes are lost. A record that begins and does not
+    decode is damaged, and so is a place right behind a record where no other
+    begins. The last record of a range answers for the place behind it, which
+    lies in a later range; so the ranges of a file together cover all its bytes.
+    """
     source, at, certain = _Source(file, size, start), start, start == 0
     while at < min(end, source.size):
         if not certain:
@@ -195,13 +224,19 @@ def records_in(file, size: int, start: int, end: int) -> Iterator[dict]:
             if at >= end:
                 return
         found = _member(source, at)
-        record = _parse(found[0]) if found else None
-        if record is None:
-            at, certain = at + 1, False
+        if found is None:
+            if certain:
+                raise DamagedArchive(f"no record begins at byte {at}")
+            at += 1
             continue
+        record = _parse(found[0])
+        if record is None:
+            raise DamagedArchive(f"the record at byte {at} has not the length it states")
         yield record
         at, certain = found[1], True
         source.drop(at)
+    if certain and at < size and _head(source, at) is None:
+        raise DamagedArchive(f"no record begins at byte {at}")
 
 
 def _id(text: str | None):
@@ -209,20 +244,29 @@ def _id(text: str | None):
     return int(digits) if digits else None
 
 
+def _named(name: str, records: Iterator[dict]) -> Iterator[dict]:
+    try:
+        yield from records
+    except DamagedArchive as error:
+        raise DamagedArchive(f"{name}: {error}") from error
+
+
 def _read(folder: str, payloads: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, path = open_folder(folder)
         for batch in batches:
             for name, size, start, end in zip(*[batch.column(c).to_pylist() for c in ("file", "bytes", "start", "stop")]):
                 with filesystem.open_input_file(posixpath.join(path, name)) as file:
+                    if file.size() != size:
+                        raise DamagedArchive(f"{name}: {file.size()} bytes where the list says {size}")
                     rows, held = [], 0
-                    for record in records_in(file, size, start, end):
+                    for record in _named(name, records_in(file, size, start, end)):
                         fields, payload = record["fields"], record["payload"]
                         kind = fields["WARC-Type"]
                         stated = fields["WARC-Payload-Digest"].removeprefix("sha256:")
                         digest = hashlib.sha256(payload).hexdigest() if kind == "response" else stated
                         if digest != stated:
-                            raise ValueError(f"{name}: a payload differs from its digest")
+                            raise DamagedArchive(f"{name}: a payload differs from its digest")
                         row = {
                             "page_id": _id(fields["WARC-Record-ID"]),
                             "url": fields.get("WARC-Target-URI"),
@@ -260,7 +304,11 @@ def read_archive(files: DataFrame, folder: str, payloads: bool = True, archive:
     """Records of the listed files (file, bytes), each file read in ranges of
     bytes by many tasks: page_id, url (as escaped), payload_bytes and
     payload_digest of the full payload, record_type, refers_to and, if wanted,
-    payload (null for revisits). Payloads are held against their digests."""
+    payload (null for revisits). Payloads are held against their digests.
+
+    A listed file that is missing, longer or shorter than the list says, or
+    damaged fails the read (DamagedArchive names file and byte, see
+    `records_in`): there are never fewer records than were written."""
     starts = F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(archive.split_bytes).cast("long"))
     ranges = (
         files.where("bytes > 0")

@@ -4,9 +4,11 @@ and what they do with nulls, empty and long texts, ties and empty tables."""
 from __future__ import annotations
 
 import hashlib
+import io
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,7 @@ import corpus_pipeline
 from checks.compare import differences, oracle_connection
 from pitchlake.llm import oracle, queries
 from pitchlake.llm.decontaminate import EditSearch, find_items
-from pitchlake.llm.embedding_pairs import Tiles, link_vectors
+from pitchlake.llm.embedding_pairs import Tiles, link_vectors, possible_pairs, quantise
 from pitchlake.llm.license_scan import TEMPLATES, Scan, scan_licenses
 from pitchlake.llm.mixing import mix_sources
 from pitchlake.llm.near_duplicates import ChosenPaths, near_duplicates
@@ -26,7 +28,7 @@ from pitchlake.llm.storage import new_folder
 from pitchlake.llm.substrings import Passages, drop_repeats
 from pitchlake.llm.token_shards import KeyIndex, ShardLayout, find_keys, read_tokens, stored_keys, write_tokens
 from pitchlake.llm.url_filter import FilterSize, rules_table, url_filter
-from pitchlake.llm.warc import Archive, read_archive, write_archive
+from pitchlake.llm.warc import Archive, DamagedArchive, read_archive, records_in, write_archive
 
 SF_DIR = "/root/testdata/sf0.001"
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -139,6 +141,58 @@ def test_archive_is_split_anywhere(spark, split):
     assert write_archive(pages.limit(0), new_folder(spark, "warc-none")).count() == 0
 
 
+def ranges_of(content: bytes, size: int, step: int):
+    """Records of all ranges of a file, as tasks read them."""
+    return [r for at in range(0, size, step) for r in records_in(io.BytesIO(content), size, at, at + step)]
+
+
+def archive_of(spark, n=40):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "url", "html").orderBy("page_id").limit(n).coalesce(1)
+    folder = new_folder(spark, "warc-damaged")
+    files = write_archive(pages, folder)
+    (row,) = files.collect()
+    return files, folder, Path(folder.removeprefix("file:")) / row["file"], row["bytes"]
+
+
+def test_no_changed_or_lost_byte_goes_unnoticed(spark):
+    _, _, path, size = archive_of(spark)
+    whole = path.read_bytes()
+    want = ranges_of(whole, size, size)
+    assert len(want) == 40 and len(whole) == size
+    random.seed(3)
+    for step in (997, 20_000, size):
+        assert ranges_of(whole, size, step) == want
+        for at in [0, 1, 2, 3, 9, size - 1, size - 8, *random.sample(range(size), 60)]:
+            changed = bytearray(whole)
+            changed[at] ^= random.randrange(1, 256)
+            try:  # a few bytes of a gzip header say nothing: the records are as they were
+                assert ranges_of(bytes(changed), size, step) == want
+            except DamagedArchive:
+                pass
+        for at in random.sample(range(1, size), 20):
+            with pytest.raises(DamagedArchive):
+                ranges_of(whole[:at], size, step)
+            with pytest.raises(DamagedArchive):  # zeros in place of the rest, as a broken disk gives them
+                ranges_of(whole[:at] + bytes(size - at), size, step)
+
+
+@pytest.mark.parametrize("harm", ["changed", "cut", "longer", "missing"])
+def test_damaged_archive_fails_the_read(spark, harm):
+    files, folder, path, size = archive_of(spark)
+    archive = Archive(split_bytes=5000)
+    assert read_archive(files, folder, False, archive).count() == 40
+    whole = bytearray(path.read_bytes())
+    path.unlink()
+    checksum = path.with_name(f".{path.name}.crc")
+    if checksum.exists():
+        checksum.unlink()
+    whole[size // 2] ^= 255
+    if harm != "missing":
+        path.write_bytes({"changed": whole, "cut": whole[:-30], "longer": whole + b"x"}[harm])
+    with pytest.raises(Exception, match="FileNotFound" if harm == "missing" else "DamagedArchive"):
+        read_archive(files, folder, False, archive).collect()
+
+
 # ---- decontamination --------------------------------------------------------
 
 
@@ -295,6 +349,32 @@ def test_vectors_link_like_by_brute_force(spark):
     assert got[606][1] == 605
 
 
+def test_doubles_are_compared_as_doubles(spark):
+    """Cosines next to the threshold, which single precision cannot tell from it,
+    and lengths whose squares no double holds."""
+    rows, want = [], {}
+    for i in range(40):
+        cosine = 0.9 + (1e-10 if i % 2 else -1e-10)
+        size = (1.0, 1e-200, 1e200, 3.0)[i % 4]
+        a, b = [0.0] * 80, [0.0] * 80
+        a[2 * i], b[2 * i], b[2 * i + 1] = size, cosine, (1 - cosine * cosine) ** 0.5
+        rows += [(2 * i, a), (2 * i + 1, b)]
+        want |= {2 * i: i % 2, 2 * i + 1: i % 2}
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {r["vec_id"]: r["n_links"] for r in link_vectors(given, tiles=Tiles(vectors=16, rows=8)).collect()} == want
+
+
+@pytest.mark.parametrize("threshold", [-0.5, 0.0, 0.3, 0.9, 0.999])
+def test_no_pair_above_the_threshold_is_ruled_out(threshold):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 24)) * rng.choice([1.0, 0.05], (300, 24))
+    y = np.concatenate([rng.normal(size=(200, 24)), x[:100] + rng.normal(size=(100, 24)) * rng.choice([1e-6, 0.02, 0.3], (100, 1))])
+    cosine = x @ y.T / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
+    possible = possible_pairs(quantise(x), quantise(y), threshold)
+    assert possible[cosine >= threshold].all()
+    assert not possible[cosine < threshold - 0.1].any()
+
+
 # ---- near duplicates --------------------------------------------------------
 
 
