@@ -19,6 +19,7 @@ from pitchlake.operators.players import ROLES, add_players, player_dimension
 from pitchlake.plans.arms import weighed_pitches
 from pitchlake.plans.extract import extract, numeric_id, unpack, wanted_pitches, wanted_sides
 from pitchlake.sources import Sources
+from pitchlake.sources.layout import FileLayout
 from pitchlake.sources.sinks import published, write_fact
 
 
@@ -147,6 +148,15 @@ def publish(
     path: str,
     leagues: tuple[League, ...] = LEAGUES,
     limits: JoinLimits = DEFAULT_LIMITS,
+    layout: FileLayout = FileLayout(),
 ) -> None:
-    """Publish leagues in place of what is published of them; others stay."""
-    write_fact(pitch_rows(sources, leagues, limits), path, [league.level for league in leagues])
+    """Publish leagues in place of what is published of them; others stay. The
+    files' ranges are sampled from the pitch table, two narrow scans of it."""
+    levels = [league.level for league in leagues]
+    write_fact(pitch_rows(sources, leagues, limits), path, levels, pitch_keys(sources, leagues), layout)
+
+
+def pitch_keys(sources: Sources, leagues: tuple[League, ...] = LEAGUES) -> DataFrame:
+    """What orders the fact, of every pitch of the leagues."""
+    season = pitches.season(F.col("gameid")).alias("game_year")
+    return wanted_pitches(sources, leagues).select("level", season, "gameid", "pitchno")

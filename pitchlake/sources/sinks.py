@@ -11,11 +11,10 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pitchlake.schema import OUTPUT_COLUMNS
+from pitchlake.sources.layout import FileLayout, file_bounds, in_files
 from pitchlake.sources.readers import Sources, TableNames
 
-PARTITIONS = ["level", "game_year"]
 VERSION = "version"
-PITCH_ORDER = ["gameid", "pitchno"]
 
 
 def published(rows: DataFrame) -> DataFrame:
@@ -98,13 +97,22 @@ class Releases:
                     self._files.delete(self._as_path(f"{self.root}/{folder}/{name}"), True)
 
 
-def write_fact(rows: DataFrame, path: str, levels: Sequence[str], kept_releases: int = 2) -> None:
+def write_fact(
+    rows: DataFrame,
+    path: str,
+    levels: Sequence[str],
+    keys: DataFrame | None = None,
+    layout: FileLayout = FileLayout(),
+    kept_releases: int = 2,
+) -> None:
     """Write derived rows (see `plans.fact.pitch_rows`) of the given levels, in
     game and pitch order, in place of what is there of these levels.
 
-    Rows are rebalanced by league and season: adaptive execution cuts a large
-    season into many even files and puts small ones together, so a season never
-    lands in one task. The order holds within each file. A run writes a version
+    The files of a season hold ranges of games that do not overlap, about as
+    large as each other, in order; a season never lands in one task. The ranges
+    come from a sample of `keys`: level, game_year, gameid and pitchno of the
+    rows, from wherever they are cheap to read (the pitch table). Without them
+    the rows are computed once more for it. A run writes a version
     of its own below each level; nothing reads it until the next release names
     it. So seasons that vanished go, other levels stay, and a run that dies at
     any step leaves the release before whole. The release before stays on disk
@@ -114,8 +122,8 @@ def write_fact(rows: DataFrame, path: str, levels: Sequence[str], kept_releases:
     releases = Releases(rows.sparkSession, path)
     before = releases.current()
     version = f"v{before.number + 1}-{uuid.uuid4().hex}"
-    ordered = rows.hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, *PITCH_ORDER)
-    stamped = published(ordered).withColumn(VERSION, F.lit(version))
+    bounds, files = file_bounds(rows if keys is None else keys, layout)
+    stamped = published(in_files(rows, bounds, files)).withColumn(VERSION, F.lit(version))
     stamped.write.mode("append").partitionBy("level", VERSION, "game_year").parquet(releases.root)
     versions = before.versions | {level.lower(): version for level in levels}
     releases.publish(Release(before.number + 1, versions, stamped.schema.json()))
