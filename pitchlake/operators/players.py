@@ -16,6 +16,7 @@ from pitchlake.operators.joins import (
     lookup,
     measured_bytes,
 )
+from pitchlake.session import settle
 
 
 @dataclass(frozen=True)
@@ -42,6 +43,27 @@ def player_dimension(players: DataFrame) -> DataFrame:
     ).where(F.col("game_year").isNotNull() & F.col("tm_id").isNotNull())
 
 
+def players_in_use(
+    players: DataFrame,
+    pitches: DataFrame,
+    roles: tuple[Role, ...] = ROLES,
+    limits: JoinLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """The player table, cut to the seasons and ids that a role of the pitches
+    names where it is too large for a broadcast whole; of an archive of all
+    players, a run of a league mostly wants few. Needs `game_year` as text.
+
+    The ids of all roles come from one narrow scan and are made distinct within
+    each task before their shuffle. The cut table settles, as it is measured and
+    then read by every lookup.
+    """
+    if measured_bytes(player_dimension(players)) <= limits.broadcast_bytes:
+        return players
+    ids = F.array(*[F.col(role.id_column) for role in roles])
+    named = pitches.select("game_year", F.explode(ids).alias("tm_id")).where("tm_id is not null").distinct()
+    return settle(players.join(named, ["game_year", "tm_id"], "left_semi"))
+
+
 def add_players(
     pitches: DataFrame,
     players: DataFrame,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitchlake.functions import flags, pitches, plays, strike_zone, units
@@ -15,7 +17,7 @@ from pitchlake.operators.joins import (
     measured_bytes,
 )
 from pitchlake.operators.pitch_joins import PITCH_KEYS
-from pitchlake.operators.players import ROLES, add_players, player_dimension
+from pitchlake.operators.players import ROLES, add_players, player_dimension, players_in_use
 from pitchlake.plans.arms import weighed_pitches
 from pitchlake.plans.extract import extract, numeric_id, unpack, wanted_pitches, wanted_sides
 from pitchlake.sources import Sources
@@ -122,6 +124,8 @@ def pitch_rows(
     order them. Arm slots are taken from the pitch table, before any join and
     before unclassified pitches are dropped, as those pitches count in a
     pitcher's mean; the wide tables are joined once."""
+    wanted = wanted_pitches(sources, leagues).withColumn("game_year", pitches.season(F.col("gameid")))
+    sources = replace(sources, players=players_in_use(sources.players, wanted, limits=limits))
     size = measured_bytes(player_dimension(sources.players))
     hot = pitch_hot_keys(wanted_pitches(sources, leagues), size, limits)
     sides = wanted_sides(sources, leagues, limits)

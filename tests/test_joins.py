@@ -1,10 +1,14 @@
 """Hot keys are split without changing a row."""
 
+import re
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from pitchlake import leagues as lg
+from pitchlake.functions import pitches
 from pitchlake.operators.joins import (
     HotKeys,
     JoinLimits,
@@ -13,6 +17,8 @@ from pitchlake.operators.joins import (
     measured_bytes,
     split_left_join,
 )
+from pitchlake.operators.players import ROLES, player_dimension, players_in_use
+from pitchlake.plans.extract import wanted_pitches
 from pitchlake.plans.fact import pitch_fact
 
 TINY = JoinLimits(broadcast_bytes=0, rows_per_split=20)
@@ -198,3 +204,23 @@ def test_sample_of_cold_keys_counts_nothing_exactly(monkeypatch, spark):
 
     monkeypatch.setattr(joins, "settle", lambda df: pytest.fail("no key is likely to be hot"))
     assert not find_hot_keys({"l": (spark.range(50_000).toDF("k"), ["k"])})["l"]
+
+
+def test_large_player_table_with_few_in_use_is_broadcast(spark, sources):
+    """An archive of players, of whom the league names few, is cut before it is measured."""
+    unused = spark.range(20_000).selectExpr("'2023' game_year", "concat('no-', id) tm_id", "'N' name", "'6-1' height")
+    archive = replace(sources, players=sources.players.unionByName(unused))
+    wanted = wanted_pitches(sources, (lg.KBSA,)).withColumn("game_year", pitches.season(F.col("gameid")))
+    limits = JoinLimits(broadcast_bytes=measured_bytes(player_dimension(archive.players)) - 1)
+    cut = players_in_use(archive.players, wanted, limits=limits)
+    ids = {(r["game_year"], r[role.id_column]) for r in wanted.collect() for role in ROLES}
+    want = [r for r in sources.players.select(*cut.columns).collect() if (r["game_year"], r["tm_id"]) in ids]
+    assert sorted(map(repr, cut.collect())) == sorted(map(repr, want)) and want
+    whole = replace(limits, broadcast_bytes=limits.broadcast_bytes + 1)
+    assert players_in_use(archive.players, wanted, limits=whole) is archive.players
+
+    columns = ["pitchuid", "NAME_batter", "NAME_pitcher", "NAME_catcher", "Height", "zone"]
+    got = pitch_fact(archive, (lg.KBSA,), limits).select(columns)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"BroadcastHashJoin \[game_year#\d+, (?:batter|pitcher|catcher)id#\d+\]", plan)) == 3
+    assert rows(got) == rows(pitch_fact(sources, (lg.KBSA,)).select(columns))
