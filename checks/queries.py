@@ -12,7 +12,7 @@ from pitchlake.functions import dates, flags, pitches, plays, strike_zone, units
 from pitchlake.operators import arm_slot, joins, pitch_joins, players
 from pitchlake.plans import arms, extract as ex, fact
 from pitchlake.session import scratch_path
-from pitchlake.sources import Sources, read_fact
+from pitchlake.sources import Sources, bucket_landed, land_sources, read_fact, read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +117,15 @@ def _one_league_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fact(spark, path)
 
 
+def _from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both pitch joins with log and trace read from their buckets."""
+    folder = scratch_path(spark, "landed")
+    land_sources(fixture_sources(spark, sf_dir), folder)
+    bucket_landed(spark, folder)
+    rows = ex.unpack(_staged(read_parquet(spark, folder)))
+    return rows.select(*KEY, "pitch_name", "runner", *ex.SAMPLES)
+
+
 def _fact(*leagues: lg.League) -> Query:
     return _over(lambda s: fact.pitch_fact(s, leagues))
 
@@ -157,6 +166,7 @@ def queries() -> dict[str, Query]:
         "scan_players": _over(lambda s: s.players),
         "sink_roundtrip": _roundtrip,
         "publish_one_league": _one_league_again,
+        "land_in_buckets": _from_buckets,
         # filters
         "filter_season": _filtered(lambda: lg.season_floor("2024")),
         "filter_league": _filtered(lambda: lg.league_level("KBO Minors")),

@@ -15,7 +15,7 @@ if not __package__:  # run as a file: the folder above holds the package
     sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pitchlake.session import build_session
-from pitchlake.sources import JdbcSource, land_sources, read_jdbc
+from pitchlake.sources import JdbcSource, bucket_landed, land_sources, read_jdbc
 
 
 def land(spark: SparkSession, source: JdbcSource, game_range: tuple[int, int], folder: str) -> None:
@@ -31,10 +31,15 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--games", required=True, nargs=2, type=int, metavar=("LOW", "HIGH"), help="game_seq, to cut reads by")
     parser.add_argument("--partitions", type=int, default=JdbcSource.partitions, help="parallel reads of a table")
     parser.add_argument("--out", required=True, help="folder of the landed tables; must be new")
+    parser.add_argument("--buckets", action="store_true", help="keep log and trace in buckets of their join keys too")
+    parser.add_argument("--shared", help="folder that all executors reach: spark.checkpoint.dir")
     options = parser.parse_args(arguments)
     properties = json.loads(Path(options.properties).read_text())
     source = JdbcSource(options.url, properties, options.partitions)
-    land(build_session(), source, tuple(options.games), options.out)
+    spark = build_session(**({"spark.checkpoint.dir": options.shared} if options.shared else {}))
+    land(spark, source, tuple(options.games), options.out)
+    if options.buckets:
+        bucket_landed(spark, options.out)
 
 
 if __name__ == "__main__":

@@ -146,13 +146,20 @@ def wanted_pitches(sources: Sources, leagues: tuple[League, ...] = LEAGUES) -> D
     return sources.pitches.where(leagues_extract(leagues))
 
 
-def of_games(pitches_: DataFrame, sides: list[DataFrame], limits: JoinLimits) -> list[DataFrame]:
+def of_games(
+    pitches_: DataFrame, sides: dict[str, DataFrame], limits: JoinLimits, in_buckets: frozenset[str] = frozenset()
+) -> list[DataFrame]:
     """Rows of the sides that belong to a game of the pitches. The games are
-    settled, and broadcast where their measured size allows it."""
+    settled, and broadcast where their measured size allows it. Where it does
+    not, sides in buckets stay whole: the cut would shuffle them, the join does not."""
     games = settle(pitches_.select("game_seq").where("game_seq is not null").distinct())
-    if measured_bytes(games) <= limits.broadcast_bytes:
+    small = measured_bytes(games) <= limits.broadcast_bytes
+    if small:
         games = F.broadcast(games)
-    return [side.join(games, "game_seq", "left_semi") for side in sides]
+    return [
+        side.join(games, "game_seq", "left_semi") if small or name not in in_buckets else side
+        for name, side in sides.items()
+    ]
 
 
 def wanted_sides(
@@ -163,7 +170,8 @@ def wanted_sides(
     them."""
     if len(leagues) == len(LEAGUES):
         return sources.pitch_log, sources.trace
-    log, trace = of_games(wanted_pitches(sources, leagues), [sources.pitch_log, sources.trace], limits)
+    sides = {"pitch_log": sources.pitch_log, "trace": sources.trace}
+    log, trace = of_games(wanted_pitches(sources, leagues), sides, limits, sources.in_buckets)
     return log, trace
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +54,35 @@ def shuffle_partitions(input_bytes: int, partition_bytes: int = 256 << 20) -> in
 def stored_bytes(spark: SparkSession, path: str) -> int:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+def _files_of(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole, by one rename, or not at all; fails if
+    there is one of that name."""
+    files, target = _files_of(spark, path)
+    _, draft = _files_of(spark, f"{path}-{uuid.uuid4().hex}")
+    out = files.create(draft)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if files.exists(target) or not files.rename(draft, target):
+        files.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file; None where there is none."""
+    files, target = _files_of(spark, path)
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, spark._jvm.java.nio.charset.StandardCharsets.UTF_8)
+    finally:
+        stream.close()

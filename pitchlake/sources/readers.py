@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+import json
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from pitchlake import schema
+from pitchlake.session import read_note
+
+#: Ending of the folder beside a landed table that keeps it in buckets.
+BUCKETS = "_buckets"
 
 
 @dataclass(frozen=True)
 class Sources:
+    """The four tables; `in_buckets` names those that lie in buckets of their
+    join key."""
+
     pitches: DataFrame
     pitch_log: DataFrame
     trace: DataFrame
     players: DataFrame
+    in_buckets: frozenset[str] = frozenset()
 
     @classmethod
     def of(
@@ -37,16 +47,47 @@ class TableNames:
     players: str = "player_info"
 
 
-def read_parquet(spark: SparkSession, folder: str, names: TableNames = TableNames()) -> Sources:
-    """Tables landed as Parquet folders. Where pitches are landed partitioned by
-    level, the league filter also prunes partitions."""
+def catalog_name(location: str) -> str:
+    return f"landed_{hashlib.sha256(location.encode()).hexdigest()[:24]}"
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table kept in buckets; None where there is no whole one. Spark takes
+    buckets from its catalog only, so the files are entered in the session's
+    current database as an external table, under a name made from the path."""
+    text = read_note(spark, f"{path}/_whole")
+    if text is None:
+        return None
+    note = json.loads(text)
+    location = f"{path}/{note['version']}"
+    name, keys = catalog_name(location), ", ".join(f"`{key}`" for key in note["keys"])
+    columns = T.StructType.fromJson(json.loads(note["schema"])).toDDL()
+    quoted = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
+        f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {note['buckets']} BUCKETS LOCATION '{quoted}'"
+    )
+    return spark.table(name)
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{name}")
 
-    return Sources.of(
-        table(names.pitches), table(names.pitch_log), table(names.trace), table(names.players)
-    )
+def read_parquet(
+    spark: SparkSession, folder: str, names: TableNames = TableNames(), buckets: bool = True
+) -> Sources:
+    """Tables landed as Parquet folders. Where pitches are landed partitioned by
+    level, the league filter also prunes partitions. Log and trace are read from
+    their buckets where `bucket_landed` has made any, unless told not to."""
+    root = folder.rstrip("/")
+    found = {}
+    for field in ("pitch_log", "trace") if buckets else ():
+        table = read_buckets(spark, f"{root}/{getattr(names, field)}{BUCKETS}")
+        if table is not None:
+            found[field] = table
+
+    def landed(field: str) -> DataFrame:
+        return found[field] if field in found else spark.read.parquet(f"{root}/{getattr(names, field)}")
+
+    sources = Sources.of(landed("pitches"), landed("pitch_log"), landed("trace"), landed("players"))
+    return replace(sources, in_buckets=frozenset(found))
 
 
 @dataclass(frozen=True)
