@@ -380,7 +380,7 @@ READS = {
     **dict.fromkeys("join_trace trace_passthrough".split(), ("pitch_trace",)),
     **dict.fromkeys(
         "agg_release_height agg_side_arm_pitchers agg_pitcher_hand pitcher_arm_slot numeric_ids"
-        " passthrough sort_game_pitch sink_roundtrip publish_one_league land_in_buckets".split(),
+        " passthrough sort_game_pitch sink_roundtrip publish_one_league land_in_buckets publish_changes".split(),
         BOTH,
     ),
     **dict.fromkeys(["pitch_fact", *(f"pitch_fact_{c}" for c in "aaa kbo kbsa minor npb".split())], BOTH),
@@ -431,6 +431,7 @@ def _selects() -> dict[str, str]:
         "scan_players": statement("*", "player_info"),
         "sink_roundtrip": fact(),
         "publish_one_league": fact(),
+        "publish_changes": fact(),
         "land_in_buckets": of("coded", "pitch_name", "runner", *X_SAMPLES, *Z_SAMPLES),
         # filters
         "filter_season": _pitches_where("left(gameid, 4) >= '2024'"),

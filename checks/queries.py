@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,7 +11,7 @@ from checks.fixtures import sources as fixture_sources
 from pitchlake import leagues as lg, schema
 from pitchlake.functions import dates, flags, pitches, plays, strike_zone, units
 from pitchlake.operators import arm_slot, joins, pitch_joins, players
-from pitchlake.plans import arms, extract as ex, fact
+from pitchlake.plans import arms, changes, extract as ex, fact
 from pitchlake.session import scratch_path
 from pitchlake.sources import Sources, bucket_landed, land_sources, read_fact, read_parquet
 
@@ -126,6 +127,18 @@ def _from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*KEY, "pitch_name", "runner", *ex.SAMPLES)
 
 
+def _changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the leagues as they were before one game's log changed, then what
+    changed since, and read all."""
+    path, sources = scratch_path(spark, "fact"), fixture_sources(spark, sf_dir)
+    last = sources.pitch_log.agg(F.max("game_seq")).first()[0]
+    unknown = F.when(F.col("game_seq") == last, F.lit(None)).otherwise(F.col("pit_kind_cd"))
+    before = replace(sources, pitch_log=sources.pitch_log.withColumn("pit_kind_cd", unknown))
+    changes.publish_changes(before, path)
+    changes.publish_changes(sources, path)
+    return read_fact(spark, path)
+
+
 def _fact(*leagues: lg.League) -> Query:
     return _over(lambda s: fact.pitch_fact(s, leagues))
 
@@ -166,6 +179,7 @@ def queries() -> dict[str, Query]:
         "scan_players": _over(lambda s: s.players),
         "sink_roundtrip": _roundtrip,
         "publish_one_league": _one_league_again,
+        "publish_changes": _changed,
         "land_in_buckets": _from_buckets,
         # filters
         "filter_season": _filtered(lambda: lg.season_floor("2024")),

@@ -1,6 +1,7 @@
 """Pitch-by-pitch tracking data to a wide pitch fact, as Spark jobs."""
 
 from pitchlake.leagues import LEAGUES, League
+from pitchlake.plans.changes import publish_changes
 from pitchlake.plans.fact import pitch_fact, publish
 from pitchlake.sources import Sources, read_fact, read_jdbc, read_parquet
 
@@ -10,6 +11,7 @@ __all__ = [
     "Sources",
     "pitch_fact",
     "publish",
+    "publish_changes",
     "read_fact",
     "read_jdbc",
     "read_parquet",

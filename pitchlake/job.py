@@ -11,6 +11,7 @@ if not __package__:  # run as a file: the folder above holds the package
     sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pitchlake.leagues import LEAGUES
+from pitchlake.plans.changes import publish_changes
 from pitchlake.plans.fact import publish
 from pitchlake.session import build_session, shuffle_partitions, stored_bytes
 from pitchlake.sources import read_parquet
@@ -23,6 +24,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder of the published fact")
     parser.add_argument("--league", action="append", choices=sorted(by_code), help="default: all")
     parser.add_argument("--shared", help="folder that all executors reach: spark.checkpoint.dir")
+    parser.add_argument("--changes", action="store_true", help="write only the seasons that changes of the sources reach")
     options = parser.parse_args(arguments)
     leagues = tuple(by_code[code] for code in options.league or by_code)
     settings = {"spark.checkpoint.dir": options.shared} if options.shared else {}
@@ -31,7 +33,8 @@ def main(arguments: list[str] | None = None) -> None:
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", wanted)
     try:
-        publish(read_parquet(spark, options.sources), options.out, leagues)
+        run = publish_changes if options.changes else publish
+        run(read_parquet(spark, options.sources), options.out, leagues)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 

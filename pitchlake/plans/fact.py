@@ -119,20 +119,23 @@ def pitch_rows(
     sources: Sources,
     leagues: tuple[League, ...] = LEAGUES,
     limits: JoinLimits = DEFAULT_LIMITS,
+    sides: tuple[DataFrame, DataFrame] | None = None,
+    arms: DataFrame | None = None,
 ) -> DataFrame:
     """Derived rows: the published columns plus the game id and pitch number that
     order them. Arm slots are taken from the pitch table, before any join and
     before unclassified pitches are dropped, as those pitches count in a
-    pitcher's mean; the wide tables are joined once."""
+    pitcher's mean; the wide tables are joined once. `sides` gives log and trace
+    where the caller has cut them, `arms` the arm slots where it has them."""
     wanted = wanted_pitches(sources, leagues).withColumn("game_year", pitches.season(F.col("gameid")))
     sources = replace(sources, players=players_in_use(sources.players, wanted, limits=limits))
     size = measured_bytes(player_dimension(sources.players))
     hot = pitch_hot_keys(wanted_pitches(sources, leagues), size, limits)
-    sides = wanted_sides(sources, leagues, limits)
+    sides = sides or wanted_sides(sources, leagues, limits)
     extracted = extract(sources, leagues, limits, hot, sides)
     named = add_players(extracted, sources.players, limits=limits, size=size, hot=hot)
-    counted = weighed_pitches(sources, leagues, limits, sides, hot)
-    slotted = add_arm_slot(with_numeric_ids(named), limits, hot.get("arm"), counted)
+    counted = weighed_pitches(sources, leagues, limits, sides, hot) if arms is None else None
+    slotted = add_arm_slot(with_numeric_ids(named), limits, hot.get("arm"), counted, arms)
     measured = slotted.withColumns(units.metric_columns())
     return unpack(classified_only(with_flags(with_zones(measured))))
 

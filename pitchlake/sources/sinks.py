@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -15,6 +15,7 @@ from pitchlake.sources.layout import FileLayout, file_bounds, in_files
 from pitchlake.sources.readers import Sources, TableNames
 
 VERSION = "version"
+STATES = "_states"
 
 
 def published(rows: DataFrame) -> DataFrame:
@@ -24,11 +25,19 @@ def published(rows: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Release:
     """What is published in a folder: a number, the version that holds each
-    league's rows, by its level in lower case, and the schema of all."""
+    league's rows, by its level in lower case, and the schema of all. After runs
+    that wrote some seasons only, `earlier` names the versions that hold the
+    others, by level folder and season folder. `states` names what runs of
+    changes know of each league's sources, by level."""
 
     number: int = 0
     versions: dict[str, str] = field(default_factory=dict)
     schema: str = ""
+    earlier: dict[str, dict[str, str]] = field(default_factory=dict)
+    states: dict[str, str] = field(default_factory=dict)
+
+    def versions_of(self, folder: str, level: str) -> set[str]:
+        return {*self.earlier.get(folder, {}).values(), *[self.versions[x] for x in (level,) if x in self.versions]}
 
 
 class Releases:
@@ -67,7 +76,8 @@ class Releases:
         target = self._as_path(f"{self.root}/_releases/{release.number}")
         out = self._files.create(draft)
         try:
-            out.write(bytearray(json.dumps({"versions": release.versions, "schema": release.schema}).encode()))
+            named = {name: value for name, value in vars(release).items() if name != "number"}
+            out.write(bytearray(json.dumps(named).encode()))
         finally:
             out.close()
         if self._files.exists(target) or not self._files.rename(draft, target):
@@ -80,21 +90,45 @@ class Releases:
 
     def folders(self, release: Release) -> list[str]:
         """The folders that hold a release; none of a league without rows."""
-        wanted = {f: f"{VERSION}={release.versions.get(level)}" for f, level in self._levels().items()}
-        return [f"{self.root}/{f}/{version}" for f, version in wanted.items() if version in self._names(f)]
+        found = []
+        for folder, level in self._levels().items():
+            version = f"{VERSION}={release.versions.get(level)}"
+            found += [f"{self.root}/{folder}/{version}"] if version in self._names(folder) else []
+            for season, earlier in release.earlier.get(folder, {}).items():
+                found.append(f"{self.root}/{folder}/{VERSION}={earlier}/{season}")
+        return found
+
+    def after(self, before: Release, version: str, levels: Sequence[str], seasons: set[tuple[str, str]] | None) -> Release:
+        """The release that follows when a version has replaced the levels (in
+        lower case), or only the seasons of them that are given."""
+        earlier = dict(before.earlier)
+        for folder, level in self._levels().items():
+            if level not in levels:
+                continue
+            there = dict(before.earlier.get(folder, {}))
+            last = before.versions.get(level)
+            there |= {name: last for name in self._names(f"{folder}/{VERSION}={last}") if name.startswith("game_year=")}
+            gone = {f"game_year={int(season)}" for x, season in seasons or () if x == level}
+            earlier[folder] = {} if seasons is None else {name: v for name, v in there.items() if name not in gone}
+        versions = before.versions | dict.fromkeys(levels, version)
+        return Release(before.number + 1, versions, before.schema, earlier, before.states)
 
     def clean(self, kept: int) -> None:
         """Delete older releases and all that no release left names, in the
-        folders of the levels that are published."""
+        folders of the levels that are published, and states that none names."""
         numbers = self.numbers()
         left = [self.read(n) for n in numbers[-kept:]]
         for number in numbers[:-kept]:
             self._files.delete(self._as_path(f"{self.root}/_releases/{number}"), False)
         for folder, level in self._levels().items():
-            named = {f"{VERSION}={r.versions[level]}" for r in left if level in r.versions}
+            named = {f"{VERSION}={v}" for r in left for v in r.versions_of(folder, level)}
             for name in self._names(folder) if named else ():
                 if name not in named:
                     self._files.delete(self._as_path(f"{self.root}/{folder}/{name}"), True)
+        states = {state for r in left for state in r.states.values()}
+        for name in self._names(STATES):
+            if name not in states:
+                self._files.delete(self._as_path(f"{self.root}/{STATES}/{name}"), True)
 
 
 def write_fact(
@@ -104,6 +138,8 @@ def write_fact(
     keys: DataFrame | None = None,
     layout: FileLayout = FileLayout(),
     kept_releases: int = 2,
+    seasons: set[tuple[str, str]] | None = None,
+    states: dict[str, str] | None = None,
 ) -> None:
     """Write derived rows (see `plans.fact.pitch_rows`) of the given levels, in
     game and pitch order, in place of what is there of these levels.
@@ -118,6 +154,10 @@ def write_fact(
     any step leaves the release before whole. The release before stays on disk
     for those who are reading it; all else below the published levels goes, what
     dead runs left too. One job publishes into a folder at a time.
+
+    With `seasons` (level in lower case, season) the rows are of these only, and
+    the other seasons of the levels stay in the versions that hold them. `states`
+    are those of `plans.changes`; a level that is published without one has none.
     """
     releases = Releases(rows.sparkSession, path)
     before = releases.current()
@@ -125,8 +165,10 @@ def write_fact(
     bounds, files = file_bounds(rows if keys is None else keys, layout)
     stamped = published(in_files(rows, bounds, files)).withColumn(VERSION, F.lit(version))
     stamped.write.mode("append").partitionBy("level", VERSION, "game_year").parquet(releases.root)
-    versions = before.versions | {level.lower(): version for level in levels}
-    releases.publish(Release(before.number + 1, versions, stamped.schema.json()))
+    lower = [level.lower() for level in levels]
+    known = {level: state for level, state in before.states.items() if level not in lower} | (states or {})
+    after = releases.after(before, version, lower, seasons)
+    releases.publish(replace(after, schema=stamped.schema.json(), states=known))
     releases.clean(kept_releases)
 
 
