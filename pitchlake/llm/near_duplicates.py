@@ -287,8 +287,9 @@ def near_duplicates(
             reps.select("id", *([f"k{d - 1}"] if d else []), F.explode(F.arrays_zip(F.col(f"k{d}").alias("k"), F.col(f"p{d}").alias("p"))).alias("x"))
             .select("id", F.col("x.k").alias("node"), up.alias("parent"))
         )
-        if above is not None:
-            nodes = nodes.join(above.select(F.col("node").alias("parent")), "parent", "left_semi")
+        if above is not None:  # read up to three times, so the look-up of the parents is made once
+            of_large = nodes.join(above.select(F.col("node").alias("parent")), "parent", "left_semi")
+            nodes = written(of_large.select("id", "node"), "branches")
         nodes = nodes.select("id", "node")
         sizes = written(nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("id").alias("first")).where("size > 1"), "nodes")
         members.append(nodes.join(sizes.where(F.col("size") <= p.small).select("node"), "node", "left_semi"))
