@@ -21,10 +21,13 @@ TRACE_BUCKETS = ["game_seq", "pitch_no"]
 
 @dataclass(frozen=True)
 class BucketSize:
-    """bytes: of one bucket as it is stored, on average. most: buckets of a table,
-    Spark's own limit; beyond it buckets grow (1 GB each at 100 TB)."""
+    """bytes: of one bucket as it is stored, on average. rows: of one bucket, on
+    average; packed files say little of what a task holds, which sorts the wide
+    pitches of the bucket's keys. most: buckets of a table, Spark's own limit;
+    beyond it buckets grow (at 20 billion rows)."""
 
     bytes: int = 256 << 20
+    rows: int = 200_000
     most: int = 100_000
 
 
@@ -72,6 +75,7 @@ def bucket_landed(
         if hot_keys(table, keys, limits):
             made[name] = 0
             continue
-        made[name] = min(size.most, max(1, -(-stored_bytes(spark, f"{root}/{name}") // size.bytes)))
+        by_bytes, by_rows = -(-stored_bytes(spark, f"{root}/{name}") // size.bytes), -(-table.count() // size.rows)
+        made[name] = min(size.most, max(1, by_bytes, by_rows))
         write_buckets(table, f"{root}/{name}{BUCKETS}", keys, made[name])
     return made

@@ -104,6 +104,16 @@ def test_table_with_a_hot_key_gets_no_buckets(spark, sources):
     assert read_parquet(spark, folder).in_buckets == {"pitch_log", "trace"}
 
 
+def test_buckets_hold_few_rows_however_well_they_are_packed(spark, sources):
+    """A packed table of many rows was one bucket, and so one task of its join."""
+    folder = scratch_path(spark, "landed")
+    land_sources(sources, folder)
+    rows = sources.pitch_log.count()
+    made = bucket_landed(spark, folder, size=BucketSize(rows=500))
+    assert made["pitch_log"] == -(-rows // 500) > 1
+    assert read_parquet(spark, folder).pitch_log.exceptAll(sources.pitch_log).count() == 0
+
+
 def test_a_run_that_dies_leaves_nothing_that_is_read(spark, sources, monkeypatch):
     from pitchlake.sources import buckets
 
