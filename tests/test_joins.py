@@ -224,3 +224,35 @@ def test_large_player_table_with_few_in_use_is_broadcast(spark, sources):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"BroadcastHashJoin \[game_year#\d+, (?:batter|pitcher|catcher)id#\d+\]", plan)) == 3
     assert rows(got) == rows(pitch_fact(sources, (lg.KBSA,)).select(columns))
+
+
+def test_pitch_tables_are_not_broadcast_by_their_stored_size(sources):
+    """A packed side of millions of rows is a few MB as stored."""
+    from pitchlake.operators.joins import split_left_join
+    from pitchlake.operators.pitch_joins import join_pitch_tables
+
+    joined = join_pitch_tables(sources.pitches.select("game_seq", "pit_seq", "pitchno"), sources.pitch_log, sources.trace)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
+    assert split_left_join(sources.pitches, sources.pitch_log, ["game_seq", "pit_seq"]).columns
+
+
+def test_large_player_table_takes_one_wide_shuffle(spark, sources):
+    """All keys meet their sides first; rows without keys and repeated rows stay."""
+    from dataclasses import replace
+
+    from pitchlake.plans import fact
+
+    few = sources.pitches.limit(40)
+    nulled = [few.withColumn(name, F.lit(None).cast(few.schema[name].dataType)) for name in ("pit_seq", "pitchno", "game_seq", "batterid")]
+    odd = sources.pitches.unionByName(few)
+    for part in nulled:
+        odd = odd.unionByName(part)
+    odd = replace(sources, pitches=odd)
+    many = JoinLimits(broadcast_bytes=0)
+    want, got = fact.pitch_fact(odd), fact.pitch_fact(odd, limits=many)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    # The carried struct is made in the scan of the wide rows and goes through one exchange.
+    assert sum("Exchange hashpartitioning(_key#" in line for line in plan) == 2
