@@ -1,13 +1,18 @@
 """A published fact is whole at every step of a run that replaces it."""
 
+from dataclasses import replace
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from pitchlake import leagues as lg, schema
+from pitchlake.operators.joins import JoinLimits
 from pitchlake.plans import fact
-from pitchlake.session import scratch_path
-from pitchlake.sources import read_fact
-from pitchlake.sources.sinks import Release, Releases, write_fact
+from pitchlake.session import dropping_shuffles, scratch_path
+from pitchlake.sources import read_fact, sinks
+from pitchlake.sources.layout import FileLayout
+from pitchlake.sources.sinks import Release, Releases, published, write_fact
 
 LEVELS = [lg.KBO.level, lg.AAA.level]
 
@@ -102,3 +107,67 @@ def test_other_versions_are_not_opened(spark, rows):
     assert all(version in f for f in read_fact(spark, path).inputFiles())
     write_fact(rows.limit(0), path, LEVELS[:1])
     assert read_fact(spark, path).count() == 0 and read_fact(spark, path).columns == schema.OUTPUT_COLUMNS
+
+
+def shuffles(plan):
+    """Columns of what each shuffle of a plan moves."""
+    text = plan._jdf.queryExecution().executedPlan()
+    found, todo = [], [text]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.inputPlan()
+        if node.nodeName() == "Exchange":
+            found.append(node.output().size())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])  # players and arms broadcast, or found by the keys
+def test_wide_rows_are_shuffled_once_and_before_they_are_derived(spark, sources, monkeypatch, limit):
+    path, limits = scratch_path(spark, "published"), JoinLimits(broadcast_bytes=limit)
+    twice = replace(
+        sources,
+        # Copies, and pitches without a number or a catcher, which must not be lost or doubled.
+        pitches=sources.pitches.unionAll(sources.pitches.where("game_seq % 50 = 0")).withColumns(
+            {
+                "pitchno": F.when(F.col("pitchno") % 7 != 0, F.col("pitchno")),
+                "catcherid": F.when(F.col("pit_seq") % 5 != 0, F.col("catcherid")),
+            }
+        ),
+    )
+    written = []
+    monkeypatch.setattr(sinks, "published", lambda rows: written.append(rows) or published(rows))
+    fact.publish(twice, path, (lg.KBO, lg.AAA), limits, FileLayout(rows_per_file=200))
+    monkeypatch.undo()
+    moved = shuffles(published(written[0]))
+    assert len([n for n in moved if n > 20]) == 1 and max(moved) < 80
+    got, want = read_fact(spark, path), fact.pitch_fact(twice, (lg.KBO, lg.AAA), limits)
+    assert got.count() == want.count() > 500
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    releases = Releases(spark, path)
+    assert releases._names("_states") == []  # what the keys found is gone
+
+
+def test_hot_keys_of_log_and_trace_are_split_before_rows_go_to_files(spark, sources):
+    path, limits = scratch_path(spark, "published"), JoinLimits(rows_per_split=3)
+    hot = replace(sources, pitches=sources.pitches.withColumn("pit_seq", F.lit(1)))
+    fact.publish(hot, path, (lg.KBO,), limits)
+    got, want = read_fact(spark, path), fact.pitch_fact(hot, (lg.KBO,))
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_shuffles_of_a_write_are_gone_when_it_ends(spark, rows):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def stored():
+        return {f for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+
+    there = stored()
+    with dropping_shuffles(spark):
+        rows.repartition(5, "gameid").write.parquet(scratch_path(spark, "shuffled"))
+    assert stored() <= there
+    assert spark.conf.get(name) == before
