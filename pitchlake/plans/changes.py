@@ -27,8 +27,8 @@ from pitchlake.operators.arm_slot import ARM_KEY, arms_of, heights_of, season_su
 from pitchlake.operators.joins import DEFAULT_LIMITS, JoinLimits
 from pitchlake.plans.arms import weighed_pitches
 from pitchlake.plans.extract import of_games, wanted_pitches, wanted_sides
-from pitchlake.plans.fact import pitch_keys, pitch_rows
-from pitchlake.session import settle
+from pitchlake.plans.fact import pitch_keys, rows_in_files
+from pitchlake.session import dropping_shuffles, settle
 from pitchlake.sources import Sources
 from pitchlake.sources.layout import FileLayout
 from pitchlake.sources.sinks import STATES, Releases, write_fact
@@ -103,7 +103,8 @@ class _State:
 
     def keep(self, rows: DataFrame, table: str) -> DataFrame:
         path = f"{self.root}/{self.name}/{table}"
-        rows.write.parquet(path)
+        with dropping_shuffles(self.spark):
+            rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def before(self, table: str, level: str, like: DataFrame) -> DataFrame:
@@ -165,7 +166,7 @@ def publish_changes(
         written |= _pairs(sums.join(relabelled, ARM_KEY, "left_semi"))
         if written != changed:
             part, part_sides = cut(written)
-    rows = pitch_rows(part, leagues, limits, part_sides, settle(arms_of(heights_of(sums))))
+    rows = rows_in_files(part, leagues, limits, part_sides, settle(arms_of(heights_of(sums))))
     touched = [league.level for league in leagues if kept is None or league.level.lower() in {x for x, _ in written}]
     states = dict.fromkeys(levels, state.name)
     seasons = None if kept is None else written

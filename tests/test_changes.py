@@ -12,8 +12,8 @@ from pitchlake.plans import fact
 from pitchlake.plans.arms import weighed_pitches
 from pitchlake.plans.changes import differing, prints, publish_changes
 from pitchlake.session import scratch_path
-from pitchlake.sources import read_fact
-from pitchlake.sources.sinks import Releases
+from pitchlake.sources import read_fact, sinks
+from pitchlake.sources.sinks import Releases, published
 
 SOME = (lg.KBSA, lg.NPB)
 LEVELS = {league.level.lower() for league in SOME}
@@ -124,3 +124,15 @@ def test_fingerprints_differ(spark, before, after):
     one, two = (prints(spark.createDataFrame(rows, "k int, a int, b int"), ["k"], "p") for rows in (before, after))
     assert differing(one, two).select("k").distinct().count() == 1
     assert differing(one, one).count() == 0
+
+
+def test_wide_rows_of_a_run_of_changes_go_straight_to_their_files(spark, sources, monkeypatch):
+    written = []
+    monkeypatch.setattr(sinks, "published", lambda rows: written.append(rows) or published(rows))
+    path = scratch_path(spark, "published")
+    publish_changes(sources, path, SOME)
+    monkeypatch.undo()
+    plan = published(written[0])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange shufflepartitionidpassthrough") == 2  # pitches, and what their keys found
+    assert "Exchange hashpartitioning" not in plan
+    assert Releases(spark, path)._names("_states") == list(set(Releases(spark, path).current().states.values()))
