@@ -19,6 +19,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -322,19 +323,29 @@ def _from_packed(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, f"<u{width}", n, 8).astype(np.int64) + least
 
 
+def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    """The values of a column of packed arrays behind one another."""
+    parts = []
+    for chunk in column.chunks:
+        width = np.int64 if pa.types.is_large_binary(chunk.type) else np.int32
+        offsets = np.frombuffer(chunk.buffers()[1], width)[chunk.offset : chunk.offset + len(chunk) + 1]
+        if len(chunk):
+            parts.append(np.frombuffer(memoryview(chunk.buffers()[2])[offsets[0] : offsets[-1]], kind))
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
 def _earlier_windows(group: pa.Table) -> pa.Table:
     """For one bucket: which windows of each block have an equal one earlier."""
-    order = np.argsort(group["block"].to_numpy())
-    group = group.take(pa.array(order))
-    high = [np.frombuffer(x, "<u8") for x in group["high"].to_pylist()]
-    low = [np.frombuffer(x, "<u4") for x in group["low"].to_pylist()]
-    sizes = [len(x) for x in high]
+    h, l = _joined(group["high"], "<u8"), _joined(group["low"], "<u4")
+    sizes = pc.binary_length(group["low"]).to_numpy() // 4
     docs = np.concatenate([_from_packed(x, n) for x, n in zip(group["docs"].to_pylist(), sizes)])
-    block = np.repeat(np.arange(len(sizes)), sizes)
-    h, l = np.concatenate(high), np.concatenate(low)
+    block = np.repeat(group["block"].to_numpy(), sizes)
     by = np.lexsort((block, docs, l, h))
+    del block, docs
     first = np.ones(len(by), bool)
-    first[1:] = (h[by][1:] != h[by][:-1]) | (l[by][1:] != l[by][:-1])
+    for values in (h, l):
+        first[1:] &= values[by[1:]] == values[by[:-1]]
+    first[1:] = ~first[1:]
     earlier = np.empty(len(by), bool)
     earlier[by] = ~first
     cuts = np.split(earlier, np.cumsum(sizes)[:-1])
@@ -421,18 +432,22 @@ class _Answers:
     """Answers to the blocks of one task after another, read from their files."""
 
     def __init__(self, folder: str, name: str) -> None:
-        self.folder, self.name, self.task, self.held = folder, name, None, {}
+        self.folder, self.name, self.task, self.held, self.places = folder, name, None, None, {}
 
     def of(self, block: int) -> list[dict]:
         if block >> 40 != self.task:
-            self.task, self.held = block >> 40, {}
+            self.task, self.held, self.places = block >> 40, None, {}
             try:
                 raw = read_range(self.folder, f"{self.name}-{self.task}")
             except FileNotFoundError:  # none of this task's blocks got an answer
                 return []
-            for row in pa.ipc.open_stream(raw).read_all().to_pylist():
-                self.held.setdefault(row["block"], []).append(row)
-        return self.held.get(block, [])
+            # Rows stay packed: a task has one for each of its blocks and each bucket.
+            self.held = pa.ipc.open_stream(raw).read_all()
+            blocks = self.held["block"].to_numpy()
+            order = np.argsort(blocks, kind="stable")
+            cuts = np.flatnonzero(np.diff(blocks[order])) + 1
+            self.places = {int(blocks[at[0]]): at for at in np.split(order, cuts) if len(at)}
+        return self.held.take(self.places[block]).to_pylist() if block in self.places else []
 
 
 def drop_repeats(
@@ -458,7 +473,8 @@ def drop_repeats(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     packed = rows.mapInArrow(_blocks("doc_id", "text", p.block_bytes), "block long, ids array<long>, texts array<string>, words long")
     folder = new_folder(docs.sparkSession, "passages")
-    packed.write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    # Readers open a row group as a whole, so each block is one.
+    packed.write.option("compression", "zstd").option("parquet.block.row.count.limit", "1").parquet(f"{folder}/blocks")
     blocks = docs.sparkSession.read.schema(packed.schema).parquet(f"{folder}/blocks")
     n_words = blocks.agg(F.sum("words")).first()[0] or 0
     buckets = max(1, ceil(n_words / p.bucket_words))
