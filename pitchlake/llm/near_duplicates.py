@@ -8,12 +8,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
 from .embedding_pairs import forest
-from .storage import written
+from .storage import new_folder, publish_file, read_range, written
 from .words import LOWER, Words, combine, mix, slices, words_of
 
 
@@ -218,35 +219,152 @@ def _compare_nodes(p: ChosenPaths):
     return run
 
 
+@dataclass
+class _Block:
+    """Some sets of a cluster: ids, sizes, and all tokens with their owners' places."""
+
+    ids: np.ndarray
+    n: np.ndarray
+    owner: np.ndarray
+    tokens: np.ndarray
+
+
+def _block(table: pa.Table) -> _Block:
+    n = table["n"].to_numpy()
+    tokens = np.frombuffer(b"".join(table["tokens"].to_pylist()), np.uint64)
+    return _Block(table["id"].to_numpy(), n, np.repeat(np.arange(len(n)), n), tokens)
+
+
+def _in_common(a: _Block, b: _Block) -> np.ndarray:
+    """Sizes of the intersections of the sets of two blocks: by products of
+    matrices, or where that is less, by the pairs of sets that each token joins."""
+    _, column = np.unique(np.concatenate([a.tokens, b.tokens]), return_inverse=True)
+    columns = column[: len(a.tokens)], column[len(a.tokens) :]
+    held = [np.bincount(c, minlength=len(column)) for c in columns]
+    shared = (held[0] > 0) & (held[1] > 0)
+    number = np.cumsum(shared) - 1
+    sides = []
+    for side, c in zip((a, b), columns):
+        kept = shared[c]
+        owner, c = side.owner[kept], number[c[kept]]
+        order = np.argsort(c, kind="stable")
+        sides.append((owner[order], c[order]))
+    (owner_a, column_a), (owner_b, column_b) = sides
+    count_b, n_columns = held[1][shared], int(shared.sum())
+    common = np.zeros((len(a.ids), len(b.ids)), np.int32)
+    pairs = count_b[column_a]
+    if 8 * pairs.sum() <= common.size * n_columns // 16:
+        first_b = np.cumsum(count_b) - count_b
+        until = np.cumsum(pairs)
+        at = 0
+        while at < len(pairs):
+            end = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + (1 << 21), "right")))
+            times = pairs[at:end]
+            place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            j = owner_b[np.repeat(first_b[column_a[at:end]], times) + place]
+            np.add.at(common.reshape(-1), np.repeat(owner_a[at:end], times) * len(b.ids) + j, 1)
+            at = end
+        return common
+    width = max(256, min(4096, (32 << 20) // (4 * (len(a.ids) + len(b.ids)))))
+    for start in range(0, n_columns, width):
+        parts = []
+        for side, (owner, column) in zip((a, b), sides):
+            s = slice(*np.searchsorted(column, [start, start + width]))
+            part = np.zeros((len(side.ids), width), np.float32)
+            part[owner[s], column[s] - start] = 1
+            parts.append(part)
+        common += (parts[0] @ parts[1].T).astype(np.int32)
+    return common
+
+
+def _set_links(a: _Block, b: _Block, p: ChosenPaths) -> pa.RecordBatch:
+    """Links between two blocks, or within one that is given twice."""
+    common = _in_common(a, b)
+    i, j = np.nonzero(np.triu(common, 1) if a is b else common)
+    both = common[i, j].astype(np.int64)
+    linked = 100 * both >= p.percent * (a.n[i] + b.n[j] - both)
+    i, j = i[linked], j[linked]
+    return _spanning(a.ids, i, j) if a is b else _spanning(np.concatenate([a.ids, b.ids]), i, len(a.ids) + j)
+
+
 def _compare_sets(p: ChosenPaths):
-    """Links within a tile, by the sizes of the intersections of full sets."""
+    """Links within a cluster of one block, by the sizes of the intersections of
+    full sets."""
 
     def compare(group: pa.Table) -> pa.Table:
-        ids, n = group["id"].to_numpy(), group["n"].to_numpy()
-        owner = np.repeat(np.arange(len(ids)), n)
-        tokens = np.frombuffer(b"".join(group["tokens"].to_pylist()), np.uint64)
-        _, column, count = np.unique(tokens, return_inverse=True, return_counts=True)
-        shared = count > 1
-        number = np.cumsum(shared) - 1
-        keep = shared[column]
-        owner, column = owner[keep], number[column[keep]]
-        order = np.argsort(column, kind="stable")
-        owner, column = owner[order], column[order]
-        common = np.zeros((len(ids), len(ids)), np.float32)
-        width = max(256, min(4096, (32 << 20) // (4 * len(ids))))
-        for a in range(0, int(shared.sum()), width):
-            s = slice(*np.searchsorted(column, [a, a + width]))
-            part = np.zeros((len(ids), width), np.float32)
-            part[owner[s], column[s] - a] = 1
-            common += part @ part.T
-        i, j = np.nonzero(np.triu(common, 1))
-        both = common[i, j].astype(np.int64)
-        linked = 100 * both >= p.percent * (n[i] + n[j] - both)
-        return pa.Table.from_batches([_spanning(ids, i[linked], j[linked])])
+        block = _block(group)
+        return pa.Table.from_batches([_set_links(block, block, p)])
 
     return compare
 
 
+def _keep_block(folder: str):
+    """Write a block of a large cluster as one file; returns what sizes it holds."""
+
+    def keep(group: pa.Table) -> pa.Table:
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, group.schema) as stream:
+            stream.write_table(group)
+        publish_file(folder, _block_name(group["cluster"][0].as_py(), group["block"][0].as_py()), [out.getvalue()])
+        sizes = pc.min_max(group["n"])
+        return group.select(["cluster", "block"]).slice(0, 1).append_column("least", pa.array([sizes["min"].as_py()])).append_column(
+            "most", pa.array([sizes["max"].as_py()])
+        )
+
+    return keep
+
+
+def _block_name(cluster: int, block: int) -> str:
+    return f"c{cluster}-{block}"
+
+
+def _compare_blocks(p: ChosenPaths, folder: str):
+    """Links between a block and some of those from it on, read from their files."""
+
+    def opened(cluster: int, block: int) -> _Block:
+        return _block(pa.ipc.open_stream(read_range(folder, _block_name(cluster, block))).read_all())
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                low = opened(row["cluster"], row["low"])
+                for high in row["highs"]:
+                    yield _set_links(low, low if high == row["low"] else opened(row["cluster"], high), p)
+
+    return compare
+
+
+def _large_cluster_links(sets: DataFrame, shape: DataFrame, p: ChosenPaths) -> DataFrame:
+    """Links within the clusters of more than one block. Sets are cut into blocks
+    in order of their sizes and kept once, in files; a tile is two blocks whose
+    sizes allow a link, and reads them. So what is stored grows with the sets and
+    not with the tiles."""
+    spark = sets.sparkSession
+    folder = new_folder(spark, "set-blocks")
+    large = shape.where("blocks > 1").select("cluster")
+    of_large = sets.join(large, "cluster", "left_semi")
+    # Blocks that the sets of a size fill, and those that smaller sets fill before.
+    weight = F.greatest(F.count("*") / p.tile_docs, F.count("*") * F.col("n") / p.tile_shingles)
+    sized = of_large.groupBy("cluster", "n").agg(weight.alias("fills"))
+    filled = sized.select(
+        "*", F.expr("sum(fills) over (partition by cluster order by n rows between unbounded preceding and current row)").alias("until")
+    )
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / F.lit(1 << 20)
+    cut = of_large.join(filled, ["cluster", "n"]).select(
+        "cluster", F.floor(F.col("until") - F.col("fills") * share).alias("block"), "id", "n", "tokens"
+    )
+    blocks = written(
+        cut.groupBy("cluster", "block").applyInArrow(_keep_block(folder), "cluster long, block long, least long, most long"), "blocks"
+    )
+    low = blocks.select("cluster", F.col("block").alias("low"), "most")
+    high = blocks.select("cluster", F.col("block").alias("high"), "least")
+    fits = (F.col("low") <= F.col("high")) & (F.col("most") * 100 >= F.col("least") * p.percent)
+    tiles = low.join(high, "cluster").where(fits).select("cluster", "low", "high", F.floor(F.col("high") / 16).alias("part"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = tiles.repartition(tasks, "cluster", "low", "part").groupBy("cluster", "low", "part").agg(F.collect_list("high").alias("highs"))
+    return rows.mapInArrow(_compare_blocks(p, folder), "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p: ChosenPaths = ChosenPaths()
 ) -> DataFrame:
@@ -264,7 +382,8 @@ def near_duplicates(
     those still large at the last depth hold documents that agree in p.depth
     chosen shingles and are joined without a look. What is joined so is a
     cluster, a superset of a component; its full sets are compared with one
-    another in tiles of bounded size, so that no pair of a cluster is left out.
+    another in tiles of bounded size, so that no pair of a cluster is left out
+    but those whose sizes rule out a link.
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     describe, schema = _describe(p)
@@ -316,20 +435,12 @@ def near_duplicates(
     shape = sets.groupBy("cluster").agg(
         F.greatest(F.ceil(F.count("*") / p.tile_docs), F.ceil(F.sum("n") / p.tile_shingles)).alias("blocks")
     )
-    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    tiles = (
-        sets.join(shape, "cluster")
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
-    )
-    links = written(
-        tiles.select("cluster", "low", "high", "id", "n", "tokens")
-        .groupBy("cluster", "low", "high")
-        .applyInArrow(_compare_sets(p), "a long, b long"),
-        "set-links",
-    )
+    shape = written(shape, "shape")
+    whole = sets.join(shape.where("blocks <= 1").select("cluster"), "cluster", "left_semi")
+    links = whole.groupBy("cluster").applyInArrow(_compare_sets(p), "a long, b long")
+    if not shape.where("blocks > 1").isEmpty():
+        links = links.unionAll(_large_cluster_links(sets, shape, p))
+    links = written(links, "set-links")
     roots = connected_components(links, "a", "b").withColumnRenamed("id", "rep")
     answer = (
         classes.drop("row").join(roots, "rep", "left")

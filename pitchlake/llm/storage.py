@@ -38,11 +38,21 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Set while a table is written: its shuffle files go from the executors' disks
+#: with the write, and not when the driver next collects its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: the result is
     computed once and its lineage ends there."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    path, conf = new_folder(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(SHUFFLES_GO, None)
+    conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(SHUFFLES_GO) if before is None else conf.set(SHUFFLES_GO, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
