@@ -28,7 +28,7 @@ from pitchlake.operators.joins import DEFAULT_LIMITS, JoinLimits
 from pitchlake.plans.arms import weighed_pitches
 from pitchlake.plans.extract import of_games, wanted_pitches, wanted_sides
 from pitchlake.plans.fact import pitch_keys, rows_in_files
-from pitchlake.session import dropping_shuffles, settle
+from pitchlake.session import settle, writing
 from pitchlake.sources import Sources
 from pitchlake.sources.layout import FileLayout
 from pitchlake.sources.sinks import STATES, Releases, write_fact
@@ -103,7 +103,7 @@ class _State:
 
     def keep(self, rows: DataFrame, table: str) -> DataFrame:
         path = f"{self.root}/{self.name}/{table}"
-        with dropping_shuffles(self.spark):
+        with writing(self.spark):
             rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitchlake import schema
 from pitchlake.operators.joins import DEFAULT_LIMITS, JoinLimits, hot_keys
-from pitchlake.session import read_note, stored_bytes, write_note
+from pitchlake.session import dropping_shuffles, read_note, stored_bytes, write_note
 from pitchlake.sources.readers import BUCKETS, TableNames, catalog_name
 
 #: Join keys of the tables that can be kept in buckets.
@@ -41,7 +41,8 @@ def write_buckets(table: DataFrame, path: str, keys: Sequence[str], buckets: int
     version = f"v-{uuid.uuid4().hex}"
     name = catalog_name(f"{path}/{version}")
     in_order = table.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
-    in_order.option("path", f"{path}/{version}").saveAsTable(name)
+    with dropping_shuffles(table.sparkSession):
+        in_order.option("path", f"{path}/{version}").saveAsTable(name)
     table.sparkSession.sql(f"DROP TABLE {name}")  # the files stay
     note = {"version": version, "keys": list(keys), "buckets": buckets, "schema": table.schema.json()}
     write_note(table.sparkSession, f"{path}/_whole", json.dumps(note))

@@ -1,13 +1,14 @@
 """Landing: wide columns are made behind the shuffle of what they are made of."""
 
 import datetime as dt
+from pathlib import Path
 from urllib.parse import unquote
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from checks import fixtures
-from pitchlake.session import dropping_shuffles, scratch_path
+from pitchlake.session import dropping_shuffles, scratch_path, settle
 from pitchlake.sources import Sources, land_sources, read_parquet
 
 
@@ -48,7 +49,7 @@ def test_only_narrow_rows_are_shuffled_and_files_stay_in_order(spark, sources):
         seen["columns"], seen["plan"] = rows.columns, rows._jdf.queryExecution().optimizedPlan().toString()
         return rows.selectExpr("*", *[f"concat(gameid, '-{n}') as w{n}" for n in range(50)])
 
-    narrow = sources.pitches.select("level", "gameid", "game_seq")
+    narrow = sources.pitches.select("level", "gameid", "game_seq").repartition(3)  # not as files lie
     folder = scratch_path(spark, "landed")
     given = Sources(narrow, sources.pitch_log, sources.trace, sources.players)
     land_sources(given, folder, derive={"pitches": wider})
@@ -61,6 +62,32 @@ def test_only_narrow_rows_are_shuffled_and_files_stay_in_order(spark, sources):
         assert games == sorted(games)
 
 
+def test_tables_in_files_are_landed_without_a_shuffle(spark, sources, monkeypatch):
+    plans = []
+    real = DataFrameWriter.parquet
+
+    def noted(self, path, *args, **named):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return real(self, path, *args, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    folder = scratch_path(spark, "landed")
+    land_sources(sources, folder)
+    monkeypatch.undo()
+    assert len(plans) == 4 and not any("Exchange" in plan for plan in plans)
+    landed = read_parquet(spark, folder)
+    for field in ("pitches", "pitch_log", "trace", "players"):
+        found, wanted = getattr(landed, field), getattr(sources, field)
+        assert found.count() == wanted.count() and found.exceptAll(wanted).isEmpty()
+
+
+def test_shuffles_of_what_settles_go(spark):
+    left = lambda: {str(f) for f in Path(spark.conf.get("spark.local.dir", "/tmp")).glob("blockmgr-*/*/shuffle_*.data")}
+    before = left()
+    settled = settle(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count())
+    assert left() <= before and settled.count() == 10
+
+
 def test_settings_come_back_after_a_landing(spark, sources):
     name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(name)
